@@ -56,8 +56,9 @@ def seed(ledger: DataFrame, spans: DataFrame, now: datetime, template: str | Non
 
     ``spans`` has source_name, first_day and last_day.
     """
+    kind = ledger.schema["created_at"].dataType
     rows = month_rows(spans, "first_day", "last_day", template).select(
-        *KEY, "source_url", F.lit("pending").alias("status"), F.lit(now).alias("created_at")
+        *KEY, "source_url", F.lit("pending").alias("status"), F.lit(now).cast(kind).alias("created_at")
     )
     return insert_missing(ledger, rows, KEY)
 

@@ -64,11 +64,11 @@ def correlation(model: Model, by: str = "zone_id") -> DataFrame:
     taxi = model["fct_taxi_daily" if not extra else "fct_taxi_hourly"].withColumnRenamed("pickup_zone_id", "zone_id")
     trips = taxi.groupBy(*grain).agg(F.sum("trip_count").alias("trips"))
     air = model[f"fct_air_quality{suffix}"].select(*grain, "p_id", "avg_value")
-    return (
-        trips.join(air, grain)
-        .groupBy(by, "p_id")
-        .agg(F.corr(F.col("trips").cast("double"), "avg_value").alias("pearson"), F.count("*").alias("points"))
-    )
+    x, y = F.col("trips").cast("double"), F.col("avg_value")
+    # A constant series has no correlation: null instead of a division by zero.
+    pearson = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    points = trips.join(air, grain).groupBy(by, "p_id")
+    return points.agg(pearson.alias("pearson"), F.count("*").alias("points"))
 
 
 REPORTS = {

@@ -64,7 +64,7 @@ def load_trip_months(
     counts = spark.createDataFrame([], "source_name string, partition_key string, rows_written bigint")
     if good:
         staged = stage(facts.silver_trips(union_drift(good), source, load_ts), "trips")
-        tables.overwrite_partitions(staged, target, ["year", "month"])
+        tables.overwrite_partitions(staged, target, ["year", "month"], clustered=True)
         counts = staged.groupBy("year", "month").agg(F.count("*").alias("rows_written")).select(
             F.lit(source).alias("source_name"),
             F.format_string("%04d-%02d", "year", "month").alias("partition_key"),

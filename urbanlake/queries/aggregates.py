@@ -11,13 +11,13 @@ from urbanlake.queries import bindings as b
 from urbanlake.queries.registry import query
 from urbanlake.sources import tables
 
-_TAXI_COLUMNS = """date_key, pickup_zone_id, payment_id, {hour}trip_count, round(total_fare_usd, 2) AS total_fare_usd,
-  round(total_revenue_usd, 2) AS total_revenue_usd, round(total_distance_miles, 4) AS total_distance_miles,
-  round(avg_trip_duration_min, 6) AS avg_trip_duration_min, total_passengers"""
+_TAXI_COLUMNS = """date_key, pickup_zone_id, payment_id, {hour}trip_count, CAST(round(CAST(total_fare_usd AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_fare_usd,
+  CAST(round(CAST(total_revenue_usd AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_revenue_usd, CAST(round(CAST(total_distance_miles AS DECIMAL(38,6)), 4) AS DOUBLE) AS total_distance_miles,
+  CAST(round(CAST(avg_trip_duration_min AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_trip_duration_min, total_passengers"""
 
 
 def _rounded(df: DataFrame, scales: dict[str, int]) -> DataFrame:
-    return df.withColumns({c: F.round(c, n) for c, n in scales.items()})
+    return df.withColumns({c: b.near(c, n) for c, n in scales.items()})
 
 
 _TAXI_SCALES = {
@@ -40,7 +40,7 @@ def agg_taxi_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_air_daily",
-    """SELECT zone_id, date_key, CAST(p_id AS INTEGER) AS p_id, round(avg_value, 6) AS avg_value, sensor_count
+    """SELECT zone_id, date_key, CAST(p_id AS INTEGER) AS p_id, CAST(round(CAST(avg_value AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_value, sensor_count
     FROM fct_air_quality""",
     *b.AIR_CTES,
 )
@@ -51,7 +51,7 @@ def agg_air_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_air_hourly",
-    """SELECT zone_id, date_key, hour, CAST(p_id AS INTEGER) AS p_id, round(avg_value, 6) AS avg_value, sensor_count
+    """SELECT zone_id, date_key, hour, CAST(p_id AS INTEGER) AS p_id, CAST(round(CAST(avg_value AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_value, sensor_count
     FROM fct_air_quality_hourly""",
     *b.AIR_HOUR_CTES,
 )
@@ -76,7 +76,7 @@ def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "agg_raw_to_hour",
     """SELECT location_id AS sensor_id, location_id, parameter, units, date_utc, hour_utc,
-      round(avg(nullif(value, 0)), 6) AS value, CAST(count(nullif(value, 0)) AS INTEGER) AS reading_count
+      CAST(round(CAST(avg(nullif(value, 0)) AS DECIMAL(38,8)), 6) AS DOUBLE) AS value, CAST(count(nullif(value, 0)) AS INTEGER) AS reading_count
     FROM readings_raw GROUP BY ALL""",
     b.READINGS_RAW,
 )
@@ -86,9 +86,9 @@ def agg_raw_to_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_raw_to_day",
-    """SELECT location_id AS sensor_id, location_id, parameter, units, date_utc, round(avg(nullif(value, 0)), 6) AS value,
-      round(min(nullif(value, 0)), 2) AS min_val, round(max(nullif(value, 0)), 2) AS max_val,
-      round(quantile_disc(nullif(value, 0), 0.5), 2) AS median_val, CAST(NULL AS DOUBLE) AS coverage_pct,
+    """SELECT location_id AS sensor_id, location_id, parameter, units, date_utc, CAST(round(CAST(avg(nullif(value, 0)) AS DECIMAL(38,8)), 6) AS DOUBLE) AS value,
+      CAST(round(CAST(min(nullif(value, 0)) AS DECIMAL(38,4)), 2) AS DOUBLE) AS min_val, CAST(round(CAST(max(nullif(value, 0)) AS DECIMAL(38,4)), 2) AS DOUBLE) AS max_val,
+      CAST(round(CAST(quantile_disc(nullif(value, 0), 0.5) AS DECIMAL(38,4)), 2) AS DOUBLE) AS median_val, CAST(NULL AS DOUBLE) AS coverage_pct,
       CAST(count(nullif(value, 0)) AS INTEGER) AS expected_count
     FROM readings_raw GROUP BY ALL""",
     b.READINGS_RAW,
@@ -135,7 +135,7 @@ def agg_min_max_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "agg_hourly_city",
     """SELECT date_key, hour, CAST(sum(trip_count) AS BIGINT) AS trip_count,
-      round(sum(total_revenue_usd), 2) AS total_revenue_usd
+      CAST(round(CAST(sum(total_revenue_usd) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_revenue_usd
     FROM fct_taxi_hourly WHERE date_key >= 19980101 AND date_key < 19990101 GROUP BY 1, 2""",
     *b.TAXI_HOUR_CTES,
 )

@@ -7,7 +7,7 @@ nation, sensors from customer and zones from nation and supplier.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from urbanlake.functions.dates import date_dimension
 from urbanlake.operators import dims, facts
@@ -17,6 +17,19 @@ from urbanlake.operators.timeseries import fill_gaps
 TRIP_SOURCE = "trip_files"
 
 
+def near(column: str, digits: int) -> Column:
+    """A double rounded half up to ``digits``; two more digits are settled first.
+
+    Sums of doubles differ in their last bits with the order of the rows, which
+    would tip a value that lies halfway.
+    """
+    return F.round(F.col(column).cast(f"decimal(38,{digits + 2})"), digits).cast("double")
+
+
+def near_sql(value: str, digits: int) -> str:
+    return f"CAST(round(CAST({value} AS DECIMAL(38,{digits + 2})), {digits}) AS DOUBLE)"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -199,7 +199,7 @@ def filter_active_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "quarantine_rejects",
     """SELECT reason, count(*) AS rejected_rows, round(sum(fare_amount), 2) AS fares FROM (
-      SELECT fare_amount, unnest(list_filter([
+      SELECT fare_amount, unnest([
         CASE WHEN pulocationid IS NULL THEN 'no_pickup_zone' END,
         CASE WHEN dolocationid IS NULL THEN 'no_dropoff_zone' END,
         CASE WHEN tpep_pickup_datetime IS NULL THEN 'no_pickup_time' END,
@@ -210,7 +210,7 @@ def filter_active_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
         CASE WHEN (trip_distance BETWEEN 0.01 AND 100) IS NOT TRUE THEN 'distance' END,
         CASE WHEN (tpep_dropoff_datetime > tpep_pickup_datetime) IS NOT TRUE THEN 'time_order' END,
         CASE WHEN (date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) / 60.0 BETWEEN 1 AND 720)
-          IS NOT TRUE THEN 'duration' END], x -> x IS NOT NULL)) AS reason FROM trips_raw) GROUP BY reason""",
+          IS NOT TRUE THEN 'duration' END]) AS reason FROM trips_raw) WHERE reason IS NOT NULL GROUP BY reason""",
     b.TRIPS_RAW,
 )
 def quarantine_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,7 +123,7 @@ def spatial_map_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT w.date_key, w.hour, temp_c, condition, CAST(coalesce(t.trip_count, 0) AS BIGINT) AS trip_count,
       coalesce(t.revenue, 0) AS revenue_usd
     FROM weather w LEFT JOIN (SELECT date_key, hour, sum(trip_count) AS trip_count,
-      round(sum(total_revenue_usd), 2) AS revenue FROM fct_taxi_hourly GROUP BY 1, 2) t USING (date_key, hour)""",
+      CAST(round(CAST(sum(total_revenue_usd) AS DECIMAL(38,4)), 2) AS DOUBLE) AS revenue FROM fct_taxi_hourly GROUP BY 1, 2) t USING (date_key, hour)""",
     b.READINGS_RAW,
     *b.TAXI_HOUR_CTES,
     WEATHER_SQL,
@@ -132,7 +132,7 @@ def join_weather_taxi(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = facts.taxi_fact(b.trips(spark, sf_dir), "hour")
     city = facts.city_hourly(fact, 19980101, 19980129)
     return joins.weather_join(weather(spark, sf_dir), city).select(
-        "date_key", "hour", "temp_c", "condition", "trip_count", F.round("revenue_usd", 2).alias("revenue_usd")
+        "date_key", "hour", "temp_c", "condition", "trip_count", b.near("revenue_usd", 2).alias("revenue_usd")
     )
 
 
@@ -207,7 +207,7 @@ def gdp_year_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "incremental_fact_refresh",
-    """SELECT date_key, pickup_zone_id, payment_id, trip_count, round(total_revenue_usd, 2) AS total_revenue_usd
+    """SELECT date_key, pickup_zone_id, payment_id, trip_count, CAST(round(CAST(total_revenue_usd AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_revenue_usd
     FROM fct_taxi_daily""",
     *b.TAXI_CTES,
 )
@@ -219,7 +219,7 @@ def incremental_fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["trip_date", "pulocationid", "payment_type"]
     new = refresh_fact(old, trips, keys, ["date_key", "pickup_zone_id", "payment_id"], facts.taxi_fact, noon)
     return new.select(
-        "date_key", "pickup_zone_id", "payment_id", "trip_count", F.round("total_revenue_usd", 2).alias("total_revenue_usd")
+        "date_key", "pickup_zone_id", "payment_id", "trip_count", b.near("total_revenue_usd", 2).alias("total_revenue_usd")
     )
 
 

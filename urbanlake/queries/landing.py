@@ -33,8 +33,7 @@ def trip_files(spark: SparkSession, sf_dir: str) -> str:
     )
 
     def write(path: str) -> None:
-        # One shuffle by month, so that a month is a few large files instead of one per task.
-        raw.repartition("year", "month").write.partitionBy("year", "month").parquet(path)
+        tables.overwrite_partitions(raw, path, ["year", "month"])
 
     return landed(spark, sf_dir, "trip-files", write)
 
@@ -325,7 +324,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     point = hours.selectExpr(
         "date_utc",
-        "format_string('%sT%02d:00', date_utc, hour_utc) AS time",
+        "concat(date_utc, format_string('T%02d:00', hour_utc)) AS time",
         "CASE WHEN high < 30 THEN NULL ELSE high - 40 END AS temperature_2m",
         "CASE WHEN low < 2 THEN 0D ELSE low END AS apparent_temperature",
         "CASE WHEN n % 3 = 0 THEN NULL ELSE n / 100D END AS precipitation",

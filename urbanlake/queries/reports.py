@@ -16,12 +16,12 @@ _REV = """revenue AS (SELECT pickup_zone_id, date_key, sum(total_revenue_usd) AS
 
 
 def _cast(df: DataFrame, scales: dict[str, int]) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), n) for c, n in scales.items()})
+    return df.withColumns({c: b.near(c, n) for c, n in scales.items()})
 
 
 def _by_zone(name: str, sql_value: str, fact: str, zone: str, ctes: tuple[str, ...], scale: int | None) -> None:
     """A measure per zone and year-month, whose SQL is one aggregate."""
-    value = f"round({sql_value}, {scale})" if scale is not None else f"CAST({sql_value} AS BIGINT)"
+    value = b.near_sql(sql_value, scale) if scale is not None else f"CAST({sql_value} AS BIGINT)"
     body = f"SELECT borough AS dm_zone_borough, {_YM} AS dm_date_year_month, {value} AS {name} FROM {fact} LEFT JOIN zones ON {fact}.{zone} = zones.zone_id GROUP BY 1, 2"
 
     @query(f"m_{name}", body, *ctes, b.ZONES)
@@ -48,7 +48,7 @@ for _name, _value, (_fact, _zone, _ctes), _scale in [
 
 @query(
     "m_eur_rate",
-    f"SELECT {_YM} AS dm_date_year_month, round(avg(CAST(rate AS DOUBLE)), 6) AS eur_rate FROM fct_fx_daily "
+    f"SELECT {_YM} AS dm_date_year_month, CAST(round(CAST(avg(CAST(rate AS DOUBLE)) AS DECIMAL(38,8)), 6) AS DOUBLE) AS eur_rate FROM fct_fx_daily "
     "WHERE id_cur_from = 1 AND id_cur_to = 2 GROUP BY 1",
     *b.FX_CTES,
 )
@@ -58,7 +58,7 @@ def m_eur_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "m_revenue_eur",
-    "SELECT pickup_zone_id AS dm_zone_zone_id, round(sum(usd * rate), 2) AS revenue_eur FROM revenue JOIN rate USING (date_key) GROUP BY 1",
+    "SELECT pickup_zone_id AS dm_zone_zone_id, CAST(round(CAST(sum(usd * rate) AS DECIMAL(38,4)), 2) AS DOUBLE) AS revenue_eur FROM revenue JOIN rate USING (date_key) GROUP BY 1",
     *b.TAXI_CTES,
     *b.FX_CTES,
     _RATE,
@@ -70,7 +70,7 @@ def m_revenue_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "m_avg_revenue_per_trip_eur",
-    """SELECT z.pickup_zone_id AS dm_zone_zone_id, round(eur / nullif(trips, 0), 6) AS avg_revenue_per_trip_eur
+    """SELECT z.pickup_zone_id AS dm_zone_zone_id, CAST(round(CAST(eur / nullif(trips, 0) AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_revenue_per_trip_eur
     FROM (SELECT pickup_zone_id, sum(trips) AS trips FROM revenue GROUP BY 1) z LEFT JOIN
       (SELECT pickup_zone_id, sum(usd * rate) AS eur FROM revenue JOIN rate USING (date_key) GROUP BY 1) e
       ON z.pickup_zone_id = e.pickup_zone_id""",
@@ -86,7 +86,7 @@ def m_avg_revenue_per_trip_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "m_revenue_eur_div",
-    f"""SELECT coalesce(r.ym, f.ym) AS dm_date_year_month, round(usd / rate, 4) AS revenue_eur_div
+    f"""SELECT coalesce(r.ym, f.ym) AS dm_date_year_month, CAST(round(CAST(usd / rate AS DECIMAL(38,6)), 4) AS DOUBLE) AS revenue_eur_div
     FROM (SELECT {_YM} AS ym, sum(total_revenue_usd) AS usd FROM fct_taxi_daily GROUP BY 1) r FULL JOIN
       (SELECT {_YM} AS ym, avg(CAST(rate AS DOUBLE)) AS rate FROM fct_fx_daily
         WHERE id_cur_from = 1 AND id_cur_to = 2 GROUP BY 1) f ON r.ym = f.ym""",
@@ -115,7 +115,7 @@ def m_zones_with_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "r_overview",
     """SELECT (SELECT CAST(sum(trip_count) AS BIGINT) FROM fct_taxi_daily) AS trips,
-      (SELECT round(sum(total_revenue_usd), 2) FROM fct_taxi_daily) AS revenue_usd,
+      (SELECT CAST(round(CAST(sum(total_revenue_usd) AS DECIMAL(38,4)), 2) AS DOUBLE) FROM fct_taxi_daily) AS revenue_usd,
       (SELECT count(DISTINCT zone_id) FROM fct_air_quality WHERE avg_value IS NOT NULL) AS zones_with_sensors""",
     *b.TAXI_CTES,
     *b.AIR_CTES,
@@ -142,7 +142,7 @@ def r_coverage_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     "r_traffic_vs_air",
     """SELECT date_key AS dm_date_date_key, trips, avg_pollution
     FROM (SELECT date_key, CAST(sum(trip_count) AS BIGINT) AS trips FROM fct_taxi_daily GROUP BY 1) FULL JOIN
-      (SELECT date_key, round(avg(avg_value), 6) AS avg_pollution FROM fct_air_quality GROUP BY 1) USING (date_key)""",
+      (SELECT date_key, CAST(round(CAST(avg(avg_value) AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_pollution FROM fct_air_quality GROUP BY 1) USING (date_key)""",
     *b.TAXI_CTES,
     *b.AIR_CTES,
 )
@@ -155,7 +155,7 @@ def r_traffic_vs_air(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT hour, zone_id AS dm_zone_zone_id, trips_hourly, avg_pollution_hourly
     FROM (SELECT hour, pickup_zone_id AS zone_id, CAST(sum(trip_count) AS BIGINT) AS trips_hourly
         FROM fct_taxi_hourly GROUP BY 1, 2) FULL JOIN
-      (SELECT hour, zone_id, round(avg(avg_value), 6) AS avg_pollution_hourly FROM fct_air_quality_hourly GROUP BY 1, 2)
+      (SELECT hour, zone_id, CAST(round(CAST(avg(avg_value) AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_pollution_hourly FROM fct_air_quality_hourly GROUP BY 1, 2)
       USING (hour, zone_id)""",
     *b.TAXI_HOUR_CTES,
     *b.AIR_HOUR_CTES,
@@ -168,7 +168,7 @@ def r_diurnal(spark: SparkSession, sf_dir: str) -> DataFrame:
     "r_diurnal_by_hour",
     """SELECT hour, trips_hourly, avg_pollution_hourly
     FROM (SELECT hour, CAST(sum(trip_count) AS BIGINT) AS trips_hourly FROM fct_taxi_hourly GROUP BY 1) FULL JOIN
-      (SELECT hour, round(avg(avg_value), 6) AS avg_pollution_hourly FROM fct_air_quality_hourly GROUP BY 1) USING (hour)""",
+      (SELECT hour, CAST(round(CAST(avg(avg_value) AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_pollution_hourly FROM fct_air_quality_hourly GROUP BY 1) USING (hour)""",
     *b.TAXI_HOUR_CTES,
     *b.AIR_HOUR_CTES,
 )
@@ -183,7 +183,7 @@ _DOW = "CAST(dayofweek(strptime(CAST(date_key AS VARCHAR), '%Y%m%d')) + 1 AS INT
     "r_day_of_week",
     f"""SELECT dow AS dm_date_day_of_week, trips, avg_pollution
     FROM (SELECT {_DOW} AS dow, CAST(sum(trip_count) AS BIGINT) AS trips FROM fct_taxi_daily GROUP BY 1) FULL JOIN
-      (SELECT {_DOW} AS dow, round(avg(avg_value), 6) AS avg_pollution FROM fct_air_quality GROUP BY 1) USING (dow)""",
+      (SELECT {_DOW} AS dow, CAST(round(CAST(avg(avg_value) AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_pollution FROM fct_air_quality GROUP BY 1) USING (dow)""",
     *b.TAXI_CTES,
     *b.AIR_CTES,
 )
@@ -193,9 +193,9 @@ def r_day_of_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "r_revenue_fx",
-    f"""SELECT ym AS dm_date_year_month, round(revenue_usd, 2) AS revenue_usd, round(revenue_eur, 2) AS revenue_eur,
-      round(revenue_usd / trips, 6) AS avg_revenue_per_trip_usd, round(revenue_eur / trips, 6) AS avg_revenue_per_trip_eur,
-      round(eur_rate, 6) AS eur_rate
+    f"""SELECT ym AS dm_date_year_month, CAST(round(CAST(revenue_usd AS DECIMAL(38,4)), 2) AS DOUBLE) AS revenue_usd, CAST(round(CAST(revenue_eur AS DECIMAL(38,4)), 2) AS DOUBLE) AS revenue_eur,
+      CAST(round(CAST(revenue_usd / trips AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_revenue_per_trip_usd, CAST(round(CAST(revenue_eur / trips AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_revenue_per_trip_eur,
+      CAST(round(CAST(eur_rate AS DECIMAL(38,8)), 6) AS DOUBLE) AS eur_rate
     FROM (SELECT {_YM} AS ym, sum(usd) AS revenue_usd, sum(trips) AS trips FROM revenue GROUP BY 1) FULL JOIN
       (SELECT {_YM} AS ym, sum(usd * rate) AS revenue_eur FROM revenue JOIN rate USING (date_key) GROUP BY 1) USING (ym)
       FULL JOIN (SELECT {_YM} AS ym, avg(CAST(rate AS DOUBLE)) AS eur_rate FROM fct_fx_daily
@@ -220,7 +220,7 @@ def r_revenue_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     "r_long_term",
     """SELECT CAST(year AS BIGINT) AS dm_date_year, trips, avg_pollution, gdp_usd
     FROM (SELECT date_key // 10000 AS year, CAST(sum(trip_count) AS BIGINT) AS trips FROM fct_taxi_daily GROUP BY 1)
-    FULL JOIN (SELECT date_key // 10000 AS year, round(avg(avg_value), 6) AS avg_pollution FROM fct_air_quality GROUP BY 1)
+    FULL JOIN (SELECT date_key // 10000 AS year, CAST(round(CAST(avg(avg_value) AS DECIMAL(38,8)), 6) AS DOUBLE) AS avg_pollution FROM fct_air_quality GROUP BY 1)
       USING (year)
     FULL JOIN (SELECT year, CAST(sum(gdp_usd) AS DOUBLE) AS gdp_usd FROM fct_gdp_yearly GROUP BY 1) USING (year)""",
     *b.TAXI_CTES,
@@ -231,6 +231,9 @@ def r_long_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cast(reports.report("long_term", b.model(spark, sf_dir)), {"avg_pollution": 6, "gdp_usd": 2})
 
 
+_PEARSON = (
+    "CASE WHEN stddev_pop(trips) * stddev_pop(avg_value) > 0 THEN " + b.near_sql("corr(trips, avg_value)", 6) + " END"
+)
 _ZONE_DAY = """SELECT zone_id, date_key, p_id, avg_value, trips FROM fct_air_quality JOIN (
   SELECT pickup_zone_id AS zone_id, date_key, sum(trip_count) AS trips FROM fct_taxi_daily GROUP BY 1, 2)
   USING (zone_id, date_key)"""
@@ -238,14 +241,14 @@ _ZONE_DAY = """SELECT zone_id, date_key, p_id, avg_value, trips FROM fct_air_qua
 
 @query(
     "r_correlation",
-    f"""SELECT zone_id, CAST(p_id AS INTEGER) AS p_id, CASE WHEN count(*) > 1 THEN round(corr(trips, avg_value), 6) END
+    f"""SELECT zone_id, CAST(p_id AS INTEGER) AS p_id, {_PEARSON}
       AS pearson, count(*) AS points FROM ({_ZONE_DAY}) GROUP BY 1, 2""",
     *b.TAXI_CTES,
     *b.AIR_CTES,
 )
 def r_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = reports.correlation(b.model(spark, sf_dir), "zone_id")
-    return out.withColumn("pearson", F.when(F.col("points") > 1, F.round("pearson", 6)))
+    return _cast(out, {"pearson": 6})
 
 
 _ZONE_HOUR = """SELECT hour, p_id, avg_value, trips FROM fct_air_quality_hourly JOIN (
@@ -256,10 +259,10 @@ _ZONE_HOUR = """SELECT hour, p_id, avg_value, trips FROM fct_air_quality_hourly
 @query(
     "r_correlation_hourly",
     f"""SELECT hour, CAST(p_id AS INTEGER) AS p_id, count(*) AS points,
-      CASE WHEN count(*) > 1 THEN round(corr(trips, avg_value), 6) END AS pearson FROM ({_ZONE_HOUR}) GROUP BY 1, 2""",
+      {_PEARSON} AS pearson FROM ({_ZONE_HOUR}) GROUP BY 1, 2""",
     *b.TAXI_HOUR_CTES,
     *b.AIR_HOUR_CTES,
 )
 def r_correlation_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = reports.correlation(b.model(spark, sf_dir), "hour")
-    return out.withColumn("pearson", F.when(F.col("points") > 1, F.round("pearson", 6)))
+    return _cast(out, {"pearson": 6})

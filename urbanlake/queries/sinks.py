@@ -20,14 +20,14 @@ HALF = "2024-01-16"
 
 @query(
     "write_append_partitioned",
-    """SELECT sensor_id, date_utc, round(value, 2) AS value, CAST(loaded_at AS DATE) AS load_date,
+    """SELECT sensor_id, date_utc, CAST(round(CAST(value AS DECIMAL(38,4)), 2) AS DOUBLE) AS value, CAST(loaded_at AS DATE) AS load_date,
       CASE WHEN loaded_at >= TIMESTAMP '2024-01-16' THEN coverage_pct END AS coverage_pct FROM readings_raw""",
     b.READINGS_RAW,
 )
 def write_append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads; the second brings a new column."""
     rows = b.readings_raw(spark, sf_dir).select(
-        "sensor_id", "date_utc", F.round("value", 2).alias("value"), F.to_date("loaded_at").alias("load_date"), "coverage_pct"
+        "sensor_id", "date_utc", b.near("value", 2).alias("value"), F.to_date("loaded_at").alias("load_date"), "coverage_pct"
     )
     path = scratch_path(spark, "append")
     tables.append(rows.filter(F.col("load_date") < HALF).drop("coverage_pct"), path, ["load_date"])
@@ -46,10 +46,8 @@ def write_dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderkey", "o_totalprice"
     )
     path = scratch_path(spark, "dynamic")
-    # One shuffle by month keeps the number of files at the number of folders.
-    spread = rows.repartition("year", "month")
-    tables.overwrite_partitions(spread, path, ["year", "month"])
-    again = spread.filter("year = 1997").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    tables.overwrite_partitions(rows, path, ["year", "month"])
+    again = rows.filter("year = 1997").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     tables.overwrite_partitions(again, path, ["year", "month"])
     return tables.read(spark, path)
 
@@ -65,14 +63,14 @@ def write_stage_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _READING_KEYS = ["sensor_id", "date_utc", "parameter"]
 
-_UPSERT_SQL = """SELECT sensor_id, date_utc, parameter, event_id, round(value, 2) AS value FROM (
+_UPSERT_SQL = """SELECT sensor_id, date_utc, parameter, event_id, CAST(round(CAST(value AS DECIMAL(38,4)), 2) AS DOUBLE) AS value FROM (
   SELECT *, row_number() OVER (PARTITION BY sensor_id, date_utc, parameter ORDER BY event_id DESC) AS rn
   FROM readings_raw) WHERE rn = 1"""
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Morning readings as the table, afternoon readings as the batch; each unique per key."""
-    rows = b.readings_raw(spark, sf_dir).select(*_READING_KEYS, "event_id", F.round("value", 2).alias("value"), "hour_utc")
+    rows = b.readings_raw(spark, sf_dir).select(*_READING_KEYS, "event_id", b.near("value", 2).alias("value"), "hour_utc")
     old = dedupe_latest(rows.filter("hour_utc < 12"), _READING_KEYS, ["event_id"]).drop("hour_utc")
     new = dedupe_latest(rows.filter("hour_utc >= 12"), _READING_KEYS, ["event_id"]).drop("hour_utc")
     return old, new
@@ -117,14 +115,14 @@ def dim_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
       || string_agg('{"date_key":' || date_key || ',"pickup_zone_id":' || pickup_zone_id || ',"trip_count":' || trip_count
         || ',"total_revenue_usd":' || revenue || '}', ',' ORDER BY date_key, pickup_zone_id, payment_id)
       || ']}' AS document
-    FROM (SELECT *, CAST(round(total_revenue_usd, 2) AS DECIMAL(20,2)) AS revenue FROM fct_taxi_daily
+    FROM (SELECT *, CAST(CAST(round(CAST(total_revenue_usd AS DECIMAL(38,4)), 2) AS DOUBLE) AS DECIMAL(20,2)) AS revenue FROM fct_taxi_daily
       WHERE date_key BETWEEN 19980501 AND 19980531
       ORDER BY date_key, pickup_zone_id, payment_id LIMIT 50)""",
     *b.TAXI_CTES,
 )
 def export_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = facts.taxi_fact(b.trips(spark, sf_dir))
-    fact = fact.withColumn("total_revenue_usd", F.round("total_revenue_usd", 2).cast("decimal(20,2)"))
+    fact = fact.withColumn("total_revenue_usd", b.near("total_revenue_usd", 2).cast("decimal(20,2)"))
     return export.report_document(
         fact, 19980501, 19980531, "May 1998", datetime(2025, 1, 1), "fct_taxi_daily"
     )
@@ -137,13 +135,13 @@ EXPORT_SQL = """export_rows AS (
     w.date_key, w.hour, temp_c, feels_like_c, precipitation_mm, wind_speed_kmh, humidity, is_rainy, condition,
     weather_code, CAST(coalesce(t.trip_count, 0) AS BIGINT) AS trip_count, coalesce(t.revenue, 0) AS revenue_usd
   FROM weather w LEFT JOIN (SELECT date_key, hour, sum(trip_count) AS trip_count,
-      round(sum(total_revenue_usd), 2) AS revenue FROM fct_taxi_hourly GROUP BY 1, 2) t USING (date_key, hour))"""
+      CAST(round(CAST(sum(total_revenue_usd) AS DECIMAL(38,4)), 2) AS DOUBLE) AS revenue FROM fct_taxi_hourly GROUP BY 1, 2) t USING (date_key, hour))"""
 
 
 def exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = facts.taxi_fact(b.trips(spark, sf_dir), "hour")
     city = facts.city_hourly(fact, 19980101, 19980129)
-    city = city.withColumn("total_revenue_usd", F.round("total_revenue_usd", 2))
+    city = city.withColumn("total_revenue_usd", b.near("total_revenue_usd", 2))
     joined = weather_join(weather(spark, sf_dir), city)
     now = datetime(2025, 6, 1, 10, 25)
     return export.export_rows(joined, "run-1", datetime(1998, 1, 8), datetime(1998, 1, 1), now)

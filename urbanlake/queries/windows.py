@@ -107,7 +107,7 @@ def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "topn_report",
-    """SELECT date_key, pickup_zone_id, payment_id, trip_count, round(total_revenue_usd, 2) AS total_revenue_usd
+    """SELECT date_key, pickup_zone_id, payment_id, trip_count, CAST(round(CAST(total_revenue_usd AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_revenue_usd
     FROM fct_taxi_daily WHERE date_key BETWEEN 19980501 AND 19980531
     ORDER BY date_key, pickup_zone_id, payment_id LIMIT 50""",
     *b.TAXI_CTES,
@@ -115,7 +115,7 @@ def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topn_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = facts.taxi_fact(b.trips(spark, sf_dir)).filter("date_key BETWEEN 19980501 AND 19980531")
     return export.top_n(fact, ["date_key", "pickup_zone_id", "payment_id"], 50).select(
-        "date_key", "pickup_zone_id", "payment_id", "trip_count", F.round("total_revenue_usd", 2).alias("total_revenue_usd")
+        "date_key", "pickup_zone_id", "payment_id", "trip_count", b.near("total_revenue_usd", 2).alias("total_revenue_usd")
     )
 
 

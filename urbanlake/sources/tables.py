@@ -50,13 +50,26 @@ def replace(df: DataFrame, target: str, partition_by: list[str] | None = None) -
     _save(df.write.mode("overwrite").partitionBy(*(partition_by or [])), target)
 
 
-def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) -> None:
+def spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of a partition brought together for writing.
+
+    A rebalance, not a repartition: AQE splits a partition that is large and
+    joins small ones, so a hot month is written by many tasks and a quiet one
+    leaves no small files.
+    """
+    return df.hint("rebalance", *partition_by)
+
+
+def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str], clustered: bool = False) -> None:
     """Replace only the partitions that ``df`` holds rows for.
 
+    ``clustered`` says that the rows already lie together by partition.
+
     Spark swaps the folders in when the job commits, after every task is done,
     so lost executors only cost a retry.
     """
     spark = df.sparkSession
+    df = df if clustered else spread(df, partition_by)
     if _is_path(target) or not exists(spark, target):
         _save(
             df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by), target
@@ -79,13 +92,14 @@ def upsert_table(
     """
     spark = df.sparkSession
     if not exists(spark, target):
-        _save(df.write.mode("overwrite").partitionBy(*partition_by), target)
+        replace(spread(df, partition_by), target, partition_by)
         return
     batch = stage(df, "upsert-batch")
     current = read(spark, target)
     old = current.filter(_in_partitions(batch, partition_by))
     merged = upsert(old, batch, keys, null_safe).select(*current.columns)
-    overwrite_partitions(stage(merged, "upsert-merged"), target, partition_by)
+    staged = stage(spread(merged, partition_by), "upsert-merged")
+    overwrite_partitions(staged, target, partition_by, clustered=True)
 
 
 def _in_partitions(batch: DataFrame, partition_by: list[str]) -> Column:
