@@ -132,8 +132,10 @@ def tag_rejects(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def split_rejects(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     """Accepted rows, and rejected rows with their reasons."""
-    rejected = tag_rejects(df, rules).filter(F.size("reject_reasons") > 0)
-    return apply_rules(df, rules), rejected
+    passed = reduce(lambda a, b: a & b, [r.predicate for r in rules])
+    # The plain predicate decides, so reasons are built for rejected rows only.
+    rejected = tag_rejects(df.filter(~F.coalesce(passed, F.lit(False))), rules)
+    return df.filter(passed), rejected
 
 
 def filter_in_set(df: DataFrame, col: str, values: Iterable[str], ci: bool = True) -> DataFrame:

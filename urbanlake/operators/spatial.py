@@ -8,6 +8,9 @@ from urbanlake.operators.merge import dedupe_latest
 
 # At most this many grid cells along one side of the largest zone.
 MAX_CELLS_PER_SIDE = 1024
+BROADCAST_BYTES = 64 << 20
+EDGE_BYTES = 48
+ROW_BYTES = 1024
 
 
 def polygon_edges(wkt: Column) -> Column:
@@ -48,17 +51,27 @@ def strictly_within(x: Column, y: Column, edges: Column) -> Column:
 
 
 def within_join(
-    points: DataFrame, zones: DataFrame, lon: str, lat: str, wkt: str, cell_deg: float | None = None
+    points: DataFrame,
+    zones: DataFrame,
+    lon: str,
+    lat: str,
+    wkt: str,
+    cell_deg: float | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Points left-joined to the zones that strictly contain them.
 
     Zones are listed under each grid cell their box meets, so the join is an
     equi-join on the cell; box and exact tests run inside it. A point lies in
     one cell, hence meets a zone once; overlapping zones give one row each and
-    an unmatched point keeps one row. Without ``cell_deg`` the cell is the mean
-    box size, but never so small that a zone spans more than
-    ``MAX_CELLS_PER_SIDE`` cells a side. Zones that fit are broadcast by size;
-    otherwise AQE splits the cells that hold most points.
+    an unmatched point keeps one row.
+
+    One pass over the zones measures them first. Without ``cell_deg`` the cell
+    is the mean box size, but never so small that a zone spans more than
+    ``MAX_CELLS_PER_SIDE`` cells a side. Listed zones of at most
+    ``broadcast_bytes`` are broadcast, so that points do not move at all;
+    larger ones are merged on the cell, and AQE splits the cells that hold most
+    points.
     """
     attributes = [c for c in zones.columns if c != wkt]
     box = zones.withColumn("_edges", polygon_edges(F.col(wkt))).select(
@@ -69,18 +82,31 @@ def within_join(
         F.array_min(F.transform("_edges", lambda e: e.y1)).alias("_y0"),
         F.array_max(F.transform("_edges", lambda e: e.y1)).alias("_y1"),
     )
-    side = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
-    cell = (
-        F.lit(float(cell_deg))
-        if cell_deg
-        else box.agg(F.greatest(F.avg(side), F.max(side) / MAX_CELLS_PER_SIDE, F.lit(1e-9))).scalar()
-    )
+    width, height = F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")
+    side = F.greatest(width, height)
+    mean, longest, count, edges, wide, high, area = box.agg(
+        F.avg(side),
+        F.max(side),
+        F.count("*"),
+        F.coalesce(F.max(F.size("_edges")), F.lit(0)),
+        F.sum(width),
+        F.sum(height),
+        F.sum(width * height),
+    ).first()
+    cell = cell_deg or max(mean or 0.0, (longest or 0.0) / MAX_CELLS_PER_SIDE, 1e-9)
+
+    def index(value: Column) -> Column:
+        return F.floor(value / F.lit(cell))
 
     def span(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / F.col("_cell")), F.floor(F.col(high) / F.col("_cell"))))
-
-    cells = box.withColumn("_cell", cell).withColumn("_cx", span("_x0", "_x1")).withColumn("_cy", span("_y0", "_y1"))
-    located = points.withColumns({"_px": F.floor(F.col(lon) / cell), "_py": F.floor(F.col(lat) / cell)})
+        return F.explode(F.sequence(index(F.col(low)), index(F.col(high))))
+
+    cells = box.withColumn("_cx", span("_x0", "_x1")).withColumn("_cy", span("_y0", "_y1"))
+    # Upper bound: a box of w by h meets at most (w + 2)(h + 2) cells; every entry has the most edges.
+    entries = (area or 0.0) / cell**2 + 2 * ((wide or 0.0) + (high or 0.0)) / cell + 4 * count
+    small = entries * (edges * EDGE_BYTES + ROW_BYTES) <= broadcast_bytes
+    cells = F.broadcast(cells) if small else cells.hint("merge")
+    located = points.withColumns({"_px": index(F.col(lon)), "_py": index(F.col(lat))})
     x, y = F.col(lon), F.col(lat)
     same = (
         (F.col("_px") == F.col("_cx"))
@@ -91,7 +117,7 @@ def within_join(
         & (y < F.col("_y1"))
         & strictly_within(x, y, F.col("_edges"))
     )
-    return located.join(cells.drop("_cell"), same, "left").select(*points.columns, *attributes)
+    return located.join(cells, same, "left").select(*points.columns, *attributes)
 
 
 def sensor_zones(locations: DataFrame, zones: DataFrame, cell_deg: float | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ nation, sensors from customer and zones from nation and supplier.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from urbanlake.functions.dates import date_dimension
@@ -347,19 +349,34 @@ FX_CTES = (FX_RAW, FX, FX_FILLED, FCT_FX)
 GDP_CTES = (GDP_RAW, GDP, FCT_GDP)
 
 
+class _Model(dict):
+    """Tables of the star schema, built when first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]) -> None:
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._builders[name]()
+        return self[name]
+
+
 def model(spark: SparkSession, sf_dir: str) -> Model:
-    placed, params = sensor_zones(spark, sf_dir), dims.parameters(spark)
-    clean = trips(spark, sf_dir)
-    return {
-        "fct_taxi_daily": facts.taxi_fact(clean, "day"),
-        "fct_taxi_hourly": facts.taxi_fact(clean, "hour"),
-        "fct_air_quality": facts.air_fact(daily(spark, sf_dir), placed, params, "day"),
-        "fct_air_quality_hourly": facts.air_fact(hourly(spark, sf_dir), placed, params, "hour"),
-        "fct_fx_daily": facts.fx_fact(fx_filled(spark, sf_dir), dims.currencies(spark)),
-        "fct_gdp_yearly": facts.gdp_fact(gdp(spark, sf_dir)),
-        "dm_date": date_dimension(spark, "1995-01-01", 2922),
-        "dm_zone": zones(spark, sf_dir),
-        "dm_payment": dims.payments(spark),
-        "dm_currency": dims.currencies(spark),
-        "dm_air_measurement": params,
-    }
+    def air(readings: Callable[[SparkSession, str], DataFrame], grain: str) -> DataFrame:
+        return facts.air_fact(readings(spark, sf_dir), sensor_zones(spark, sf_dir), dims.parameters(spark), grain)
+
+    return _Model(
+        {
+            "fct_taxi_daily": lambda: facts.taxi_fact(trips(spark, sf_dir), "day"),
+            "fct_taxi_hourly": lambda: facts.taxi_fact(trips(spark, sf_dir), "hour"),
+            "fct_air_quality": lambda: air(daily, "day"),
+            "fct_air_quality_hourly": lambda: air(hourly, "hour"),
+            "fct_fx_daily": lambda: facts.fx_fact(fx_filled(spark, sf_dir), dims.currencies(spark)),
+            "fct_gdp_yearly": lambda: facts.gdp_fact(gdp(spark, sf_dir)),
+            "dm_date": lambda: date_dimension(spark, "1995-01-01", 2922),
+            "dm_zone": lambda: zones(spark, sf_dir),
+            "dm_payment": lambda: dims.payments(spark),
+            "dm_currency": lambda: dims.currencies(spark),
+            "dm_air_measurement": lambda: dims.parameters(spark),
+        }
+    )
