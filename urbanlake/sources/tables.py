@@ -11,6 +11,9 @@ from urbanlake.operators.merge import upsert
 from urbanlake.session import stage
 
 
+_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def _is_path(target: str) -> bool:
     return "/" in target
 
@@ -75,8 +78,13 @@ def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str], cl
             df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by), target
         )
         return
-    columns = spark.table(target).columns
-    df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+    # insertInto ignores the writer option and follows the session setting.
+    mode = spark.conf.get(_MODE)
+    spark.conf.set(_MODE, "dynamic")
+    try:
+        df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(_MODE, mode)
 
 
 def upsert_table(
