@@ -34,7 +34,7 @@ OBSERVED = st.dictionaries(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(OBSERVED)
 def test_fill_gaps(spark, observed):
     df = spark.createDataFrame([(p, d, r) for (p, d), r in observed.items()], "pair string, d date, rate int")
@@ -46,7 +46,7 @@ def test_fill_gaps(spark, observed):
         assert rows(filled, "pair", "d", "rate") == [w[:3] for w in want]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(OBSERVED, OBSERVED)
 def test_fill_across_loads_equals_one_fill(spark, first, second):
     """The second load may start a pair, revise a day or fall between old days."""
@@ -59,6 +59,15 @@ def test_fill_across_loads_equals_one_fill(spark, first, second):
     assert rows(merged) == brute_fill(both, max(d for _, d in both))
 
 
+def test_days_between_two_loads_belong_to_every_key(spark):
+    schema = "pair string, d date, rate int"
+    old = spark.createDataFrame([("a", day(0), 1), ("b", day(2), 2)], schema)
+    new = spark.createDataFrame([("a", day(6), 3)], schema)
+    silver = timeseries.fill_gaps(old, ["pair"], "d")
+    merged = upsert(silver, timeseries.fill_increment(silver, new, ["pair"], "d"), ["pair", "d"])
+    assert rows(merged) == brute_fill({("a", day(0)): 1, ("b", day(2)): 2, ("a", day(6)): 3}, day(6))
+
+
 def test_blocks_carry_over_empty_months(spark):
     data = [("a", date(2024, 1, 5), 1.0), ("a", date(2024, 2, 5), None), ("a", date(2024, 4, 1), None), ("b", date(2024, 4, 1), None)]
     df = spark.createDataFrame(data, "k string, d date, v double")

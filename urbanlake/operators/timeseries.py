@@ -75,11 +75,12 @@ def fill_gaps(df: DataFrame, keys: list[str], date_col: str, until: Column | Non
 def fill_increment(silver: DataFrame, batch: DataFrame, keys: list[str], date_col: str) -> DataFrame:
     """The filled rows that change when ``batch`` arrives on a filled ``silver``.
 
-    Only days from the batch's first date on can change. Each key is seeded
-    with its last observation before that date, so the gap between two loads
-    is filled as well.
+    Only days from the batch's first date on can change, and days after the
+    end of ``silver``. Each key is seeded with its last observation before
+    them, so the gap between two loads is filled as well.
     """
-    start = batch.agg(F.min(date_col)).scalar()
+    first_new = batch.agg(F.min(date_col)).scalar()
+    start = F.least(first_new, silver.agg(F.date_add(F.max(date_col), 1)).scalar())
     observed = upsert(silver.filter(~F.col("is_filled")).drop("is_filled"), batch, [*keys, date_col])
     seed = dedupe_latest(observed.filter(F.col(date_col) < start), keys, [date_col])
     recent = observed.filter(F.col(date_col) >= start)

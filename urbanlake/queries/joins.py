@@ -10,6 +10,7 @@ from urbanlake.operators.merge import insert_missing, refresh_fact, upsert
 from urbanlake.queries import bindings as b
 from urbanlake.queries.landing import WEATHER_SQL, weather
 from urbanlake.queries.registry import query
+from urbanlake.session import stage
 
 PAIR = ["from_currency", "to_currency"]
 
@@ -218,7 +219,7 @@ def gdp_year_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def incremental_fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fact built from the morning loads and then refreshed equals a full build."""
-    trips = b.trips(spark, sf_dir)
+    trips = stage(b.trips(spark, sf_dir), "silver-trips")
     noon = "2002-01-01 12:00:00"
     old = facts.taxi_fact(clean.incremental(trips, "loaded_at", None, noon))
     keys = ["trip_date", "pulocationid", "payment_type"]
@@ -238,9 +239,9 @@ def incremental_fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fx_incremental_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates to the end of 1998 filled, then the later ones merged: equals one fill of everything."""
-    fx = b.fx(spark, sf_dir)
+    fx = stage(b.fx(spark, sf_dir), "fx")
     old, new = fx.filter("rate_date < '1999-01-01'"), fx.filter("rate_date >= '1999-01-01'")
-    silver = timeseries.fill_gaps(old, PAIR, "rate_date")
+    silver = stage(timeseries.fill_gaps(old, PAIR, "rate_date"), "fx-filled")
     changed = timeseries.fill_increment(silver, new, PAIR, "rate_date")
     merged = upsert(silver, changed, ["rate_date", *PAIR])
     return merged.select("rate_date", *PAIR, F.col("rate").cast("double").alias("rate"), "is_filled")
