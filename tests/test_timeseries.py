@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from urbanlake.functions import dates
 from urbanlake.operators import timeseries
 from urbanlake.operators.merge import upsert
@@ -69,10 +69,15 @@ def test_days_between_two_loads_belong_to_every_key(spark):
 
 
 def test_blocks_carry_over_empty_months(spark):
-    data = [("a", date(2024, 1, 5), 1.0), ("a", date(2024, 2, 5), None), ("a", date(2024, 4, 1), None), ("b", date(2024, 4, 1), None)]
-    df = spark.createDataFrame(data, "k string, d date, v double")
+    """A null key is a key like any other."""
+    days = [(1, 5), (2, 5), (4, 1)]
+    data = [(k, date(2024, m, d), v if (m, d) == (1, 5) else None) for k, v in (("a", 1.0), (None, 2.0)) for m, d in days]
+    df = spark.createDataFrame([*data, ("b", date(2024, 4, 1), None)], "k string, d date, v double")
     got = timeseries.forward_fill(df, ["k"], "d", ["v"], F.trunc("d", "month"))
-    assert [r[2] for r in rows(got)] == [1.0, 1.0, 1.0, None]
+    assert rows(got, "k", "v") == sorted([*[("a", 1.0)] * 3, *[(None, 2.0)] * 3, ("b", None)], key=repr)
+    text = plan(got).split("== Physical Plan ==")[1]
+    # One for the rows, three for the one-row-per-block carry.
+    assert text.count("Exchange hashpartitioning") == 4
 
 
 def test_date_dimension(spark):

@@ -32,26 +32,27 @@ def forward_fill(df: DataFrame, keys: list[str], order: str, cols: list[str], bl
 
     With ``block`` (a coarser value of ``order``, such as its month) a key is
     split into many tasks: values are filled inside each block, and the last
-    value of the blocks before it, one row per block, fills the start.
+    value of the blocks before it, one row per block, fills the start. ``df``
+    is then read twice, so stage it when it is costly.
     """
     if block is None:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    df = df.withColumn("_block", block)
-    group = [*keys, "_block"]
-    inside = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # One struct column partitions the window and the join alike, so the rows move once; null keys are equal in it.
+    split = df.withColumn("_group", F.struct(*[F.col(k) for k in keys], block.alias("_block")))
+    inside = Window.partitionBy("_group").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*[F.col(f"_group.{k}") for k in keys]).orderBy("_group._block")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_last_{c}") for c in cols]
     carry = (
-        df.groupBy(*group)
+        split.groupBy("_group")
         .agg(*newest)
-        .select(*group, *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
+        .select("_group", *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
+    )
+    filled = split.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols}).join(carry, "_group", "left")
+    return filled.select(
+        *[F.coalesce(c, f"_carry_{c}").alias(c) if c in cols else F.col(c) for c in df.columns]
     )
-    right = carry.select(*[F.col(k).alias(f"_r{k}") for k in group], *[f"_carry_{c}" for c in cols])
-    same = [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in group]
-    filled = df.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols}).join(right, same, "left")
-    filled = filled.withColumns({c: F.coalesce(c, f"_carry_{c}") for c in cols})
-    return filled.select(*[c for c in df.columns if c != "_block"])
 
 
 def fill_gaps(df: DataFrame, keys: list[str], date_col: str, until: Column | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from urbanlake.operators.merge import dedupe_latest
 from urbanlake.queries import bindings as b
 from urbanlake.queries.aggregates import LEDGER_SQL, ledger
 from urbanlake.queries.registry import query
+from urbanlake.session import stage
 
 PAIR = ["from_currency", "to_currency"]
 
@@ -73,8 +74,8 @@ def dedupe_latest_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     b.FX,
 )
 def forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spine, observations and a fill split by month."""
-    fx = b.fx(spark, sf_dir)
+    """Spine, observations and a fill split by month, over stored rates."""
+    fx = stage(b.fx(spark, sf_dir), "fx")
     keys = ["rate_date", *PAIR]
     gaps = timeseries.join_spine(timeseries.date_spine(fx, "rate_date", PAIR), fx.select(*keys, "rate"), keys)
     filled = timeseries.forward_fill(gaps, PAIR, "rate_date", ["rate"], F.trunc("rate_date", "month"))
