@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tests.test_sources import archive, land
+from tests.test_sources import archive, land, pages
 from urbanlake.operators import control, dims, facts, timeseries
 from urbanlake.plans import jobs
 from urbanlake.sources import tables
@@ -159,6 +159,35 @@ def test_daily_archive_needs_coverage_unless_told(spark, scratch):
     assert jobs.merge_daily(spark, bronze, scratch + "/keep", None, "keep").rows == 1
 
 
+def test_api_pages_to_silver(spark, scratch):
+    doc = {"results": [{"value": 3.0, "period": {"datetimeFrom": {"utc": "2024-01-05T05:00:00Z"}}, "coverage": {"percentComplete": 90.0}}]}
+    frame = pages(spark, doc, sensor_id=1, location_id=2, parameter="o3", units="ppm")
+    for stamp in (L1, L2):
+        assert jobs.load_sensor_days(frame, scratch + "/b", stamp).rows == 1
+    assert jobs.merge_daily(spark, scratch + "/b", scratch + "/s", None) == jobs.Result(1, L2)
+    assert rows(tables.read(spark, scratch + "/s"), "measurement_date", "loaded_at") == [(date(2024, 1, 5), L2)]
+    known = jobs.check_tables(spark, {"openaq_measurements": scratch + "/s"})
+    assert rows(known, "success") == [(True,)] * 5
+
+
+def test_weather_export(spark, scratch):
+    fact = spark.createDataFrame(
+        [(20230101, 0, 1, 5, 9.5), (20230101, 0, 2, 1, 0.5), (20230109, 1, 1, 3, 2.0)],
+        "date_key int, hour int, pickup_zone_id int, trip_count bigint, total_revenue_usd double",
+    )
+    names = ["temperature_2m", "apparent_temperature", "precipitation", "wind_speed_10m", "relative_humidity_2m"]
+    times = ["2023-01-01T00:00", "2023-01-01T01:00", "2023-01-09T01:00"]
+    doc = {"hourly": {"time": times, **{n: [1.0] * 3 for n in names}, "weather_code": [0] * 3}}
+    start, end, now = datetime(2023, 1, 1), datetime(2023, 1, 10), datetime(2025, 6, 1, 10, 30)
+    mark, seen = None, []
+    while (done := jobs.export_weather_chunk(fact, pages(spark, doc), scratch + "/x", mark, start, end, now, "r")).rows:
+        mark = done.watermark
+        out = tables.read(spark, scratch + "/x").withColumn("dest", F.date_format("dest_ts_utc", "MM-dd HH"))
+        seen.append(rows(out, "dest", "trip_count", "revenue_usd"))
+    assert seen == [[("05-25 10", 6, 10.0), ("05-25 11", 0, 0.0)], [("05-24 11", 3, 2.0)]]
+    assert mark == end
+
+
 def test_empty_zone_table(spark, scratch):
     tables.replace(sensors(spark), scratch + "/loc")
     empty = "zone_id int, zone_name string, borough string, geometry_wkt string"

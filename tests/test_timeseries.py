@@ -118,9 +118,9 @@ def test_chunks():
 
 
 def test_remap_of_the_short_last_chunk(spark):
-    """731 days are 104 weeks and 3 days; the last chunk keeps its nominal place."""
+    """731 days are 104 weeks and 3 days; the last chunk ends where the one before begins."""
     start, now = datetime(2023, 1, 1), datetime(2025, 6, 1, 10, 30)
     last = datetime(2024, 12, 29)
     df = spark.createDataFrame([(last,)], "t timestamp_ntz")
-    got = df.select(dates.remap("t", last, start, now)).first()[0]
-    assert got == datetime(2025, 6, 1, 10) - timedelta(days=7 * 105)
+    got = df.select(dates.remap("t", (last, datetime(2025, 1, 1)), start, now)).first()[0]
+    assert got == datetime(2025, 6, 1, 10) - timedelta(days=7 * 104 + 3)

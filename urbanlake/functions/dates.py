@@ -94,14 +94,16 @@ def next_chunk(
     return None if low >= end else (low, min(low + timedelta(days=days), end))
 
 
-def remap(ts: Column | str, chunk_start: datetime, source_start: datetime, now: datetime, days: int = 7) -> Column:
-    """Move a source time into the recent past, chunk by chunk back from ``now``.
+def remap(
+    ts: Column | str, chunk: tuple[datetime, datetime], source_start: datetime, now: datetime, days: int = 7
+) -> Column:
+    """Move the times of a chunk into the recent past, chunk by chunk back from ``now``.
 
     The chunk number divides by the nominal chunk length, so a shorter last
-    chunk keeps its place.
+    chunk ends where the one before it begins.
     """
-    length = timedelta(days=days)
-    index = (chunk_start - source_start) // length
+    low, high = chunk
+    index = (low - source_start) // timedelta(days=days)
     hour = now.replace(minute=0, second=0, microsecond=0)
-    shift = (hour - index * length - length) - chunk_start
+    shift = hour - index * timedelta(days=days) - high
     return (F.col(ts) if isinstance(ts, str) else ts) + F.lit(shift)

@@ -37,13 +37,13 @@ def report_document(
 
 
 def export_rows(
-    joined: DataFrame, run_id: str, chunk_start: datetime, source_start: datetime, now: datetime
+    joined: DataFrame, run_id: str, chunk: tuple[datetime, datetime], source_start: datetime, now: datetime
 ) -> DataFrame:
     """The staged export log: weather and trips with remapped times."""
     return joined.select(
         F.lit(run_id).alias("run_id"),
         F.col("src_ts_utc").alias("source_ts_utc"),
-        remap("src_ts_utc", chunk_start, source_start, now).alias("dest_ts_utc"),
+        remap("src_ts_utc", chunk, source_start, now).alias("dest_ts_utc"),
         "date_key",
         "hour",
         "temp_c",

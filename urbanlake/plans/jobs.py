@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from urbanlake.functions.dates import month_bounds
-from urbanlake.operators import facts, merge, timeseries
+from urbanlake.functions.dates import month_bounds, next_chunk
+from urbanlake.operators import export, facts, merge, quality, timeseries
 from urbanlake.operators.clean import (
     POLLUTANTS,
     TRIP_TYPES,
@@ -24,10 +25,10 @@ from urbanlake.operators.clean import (
     normalize_schema,
     union_drift,
 )
-from urbanlake.operators.joins import semi_filter
+from urbanlake.operators.joins import semi_filter, weather_join
 from urbanlake.operators.spatial import sensor_zones
 from urbanlake.session import stage
-from urbanlake.sources import files, tables
+from urbanlake.sources import documents, files, tables
 
 START = datetime(1900, 1, 1)
 
@@ -107,6 +108,54 @@ def load_archive_month(
     return _written(out, lambda df: tables.append(df, target, ["load_date"]))
 
 
+def load_sensor_days(pages: DataFrame, target: str, load_ts: datetime, source: str = "api") -> Result:
+    """Append the daily readings of API pages; ``pages`` holds the sensor columns and a payload."""
+    out = files.with_audit(documents.flatten_sensor_days(pages), source, load_ts)
+    out = out.withColumns({"year": F.year("date_utc"), "month": F.month("date_utc")})
+    return _written(out, lambda df: tables.append(df, target, ["load_date"]))
+
+
+def load_locations(pages: DataFrame, target: str, load_ts: datetime) -> Result:
+    return _written(documents.flatten_locations(pages, load_ts), lambda df: tables.append(df, target))
+
+
+def load_indicators(pages: DataFrame, target: str, load_ts: datetime) -> Result:
+    return _written(documents.flatten_indicators(pages, load_ts), lambda df: tables.append(df, target))
+
+
+def load_rates(spark: SparkSession, path: str, target: str, load_ts: datetime) -> Result:
+    return _written(files.scan_rate_series(spark, path, load_ts), lambda df: tables.append(df, target))
+
+
+def export_weather_chunk(
+    fact: DataFrame,
+    pages: DataFrame,
+    target: str,
+    watermark: datetime | None,
+    start: datetime,
+    end: datetime,
+    now: datetime,
+    run_id: str,
+) -> Result:
+    """Stage the next weekly chunk of weather and trips; the new mark is the chunk's end."""
+    chunk = next_chunk(watermark, start, end)
+    if chunk is None:
+        return Result(0, watermark)
+    low, high = chunk
+    first, last = [int(t.strftime("%Y%m%d")) for t in chunk]
+    weather = documents.flatten_weather(pages, low, high)
+    rows = export.export_rows(weather_join(weather, facts.city_hourly(fact, first, last)), run_id, chunk, start, now)
+    written = _written(rows, lambda df: tables.replace(df, target), "written_at_utc")
+    # A chunk without weather is tried again, not skipped.
+    return Result(written.rows, high if written.rows else watermark)
+
+
+def check_tables(spark: SparkSession, targets: dict[str, str]) -> DataFrame:
+    """Results of the standard checks; ``targets`` maps a checked table to where it is stored."""
+    checks = quality.standard_checks()
+    return quality.dq_run_all({name: tables.read(spark, place) for name, place in targets.items()}, checks)
+
+
 def _merge_new(
     spark: SparkSession,
     source: str,
@@ -132,7 +181,7 @@ def merge_daily(
     spark: SparkSession, source: str, target: str, watermark: datetime | None, null_coverage: str = "drop"
 ) -> Result:
     keys = ["sensor_id", "measurement_date", "parameter"]
-    build = lambda df: facts.silver_daily(df, null_coverage)
+    build = partial(facts.silver_daily, null_coverage=null_coverage)
     return _merge_new(spark, source, target, watermark, build, keys, ["year", "month"])
 
 
@@ -179,7 +228,7 @@ def refresh_trips(
     """Rebuild the trip groups touched since the watermark and merge them into the fact."""
     keys = ["date_key", "pickup_zone_id", "payment_id", *(["hour"] if grain == "hour" else [])]
     touched = ["trip_date", "pulocationid", "payment_type", *(["hour_of_day"] if grain == "hour" else [])]
-    build = lambda df: facts.taxi_fact(df, grain)
+    build = partial(facts.taxi_fact, grain=grain)
     return _refresh(spark, tables.read(spark, silver), target, watermark, "trip_date", touched, keys, build)
 
 
@@ -195,7 +244,7 @@ def refresh_air(
     keys = ["date_key", "zone_id", "p_id", *(["hour"] if grain == "hour" else [])]
     touched = ["measurement_date", "zone_id", "parameter", *(["hour_utc"] if grain == "hour" else [])]
     readings = facts.zoned_readings(tables.read(spark, silver), tables.read(spark, zones).select("sensor_id", "zone_id"))
-    build = lambda df: facts.air_fact_of(df, params, grain)
+    build = partial(facts.air_fact_of, params=params, grain=grain)
     return _refresh(spark, readings, target, watermark, "measurement_date", touched, keys, build)
 
 
@@ -230,7 +279,9 @@ def _month_of(date_key: Column) -> Column:
 
 
 def refresh_fx(spark: SparkSession, silver: str, currency: DataFrame, target: str, watermark: datetime | None) -> Result:
-    build = lambda df: facts.fx_fact(df, currency).withColumn("month_key", _month_of(F.col("date_key")))
+    def build(new: DataFrame) -> DataFrame:
+        return facts.fx_fact(new, currency).withColumn("month_key", _month_of(F.col("date_key")))
+
     keys = ["date_key", "id_cur_from", "id_cur_to"]
     return _refresh_rows(spark, silver, target, watermark, build, keys, ["month_key"])
 

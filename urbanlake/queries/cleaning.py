@@ -268,7 +268,7 @@ def set_difference_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "write_accepted_rejected",
+    "accepted_and_rejected",
     """SELECT (SELECT count(*) FROM trips) AS accepted, (SELECT count(*) FROM trips_raw) - (SELECT count(*) FROM trips)
       AS rejected""",
     b.TRIPS_RAW,

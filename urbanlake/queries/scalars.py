@@ -162,7 +162,7 @@ def rain_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def time_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The third weekly chunk moved to before now."""
     rows = b.table(spark, sf_dir, "events").filter("ts >= '2024-01-15' AND ts < '2024-01-22'")
-    dest = dates.remap("ts", datetime(2024, 1, 15), datetime(2024, 1, 1), datetime(2025, 6, 1, 10, 25))
+    dest = dates.remap("ts", (datetime(2024, 1, 15), datetime(2024, 1, 22)), datetime(2024, 1, 1), datetime(2025, 6, 1, 10, 25))
     return rows.select("event_id", dest.alias("dest_ts"))
 
 

@@ -144,7 +144,7 @@ def exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     city = city.withColumn("total_revenue_usd", b.near("total_revenue_usd", 2))
     joined = weather_join(weather(spark, sf_dir), city)
     now = datetime(2025, 6, 1, 10, 25)
-    return export.export_rows(joined, "run-1", datetime(1998, 1, 8), datetime(1998, 1, 1), now)
+    return export.export_rows(joined, "run-1", (datetime(1998, 1, 8), datetime(1998, 1, 15)), datetime(1998, 1, 1), now)
 
 
 @query(

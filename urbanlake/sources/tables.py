@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,8 @@ from urbanlake.operators.merge import upsert
 from urbanlake.session import stage
 
 
+log = logging.getLogger(__name__)
+
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -95,8 +98,8 @@ def upsert_table(
     ``partition_by`` must be determined by the key (a month of a date in the
     key, say). Then only touched partitions are read, merged and replaced; the
     rest of the table is neither read nor written. The merged partitions are
-    staged first, so a run that dies while swapping can be repeated from the
-    same input.
+    staged first and the staged path is logged: should the driver die while it
+    swaps folders, pass that path to ``overwrite_partitions`` again.
     """
     spark = df.sparkSession
     if not exists(spark, target):
@@ -107,6 +110,7 @@ def upsert_table(
     old = current.filter(_in_partitions(batch, partition_by))
     merged = upsert(old, batch, keys, null_safe).select(*current.columns)
     staged = stage(spread(merged, partition_by), "upsert-merged")
+    log.info("partitions of %s staged in %s", target, staged.inputFiles()[:1])
     overwrite_partitions(staged, target, partition_by, clustered=True)
 
 
