@@ -1,4 +1,4 @@
 """All queries of the corpus operators: importing this module registers them."""
 
-from urbanlake.llm import fixity, mixing, rules, secrets, suffixes  # noqa: F401
+from urbanlake.llm import fixity, mixing, ngram_join, rules, secrets, suffixes  # noqa: F401
 from urbanlake.llm.common import ORACLE, QUERIES  # noqa: F401
