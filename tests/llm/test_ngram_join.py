@@ -65,6 +65,8 @@ def test_made_texts(spark):
 def test_other_order_and_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FREQUENT", 3)
     monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    monkeypatch.setattr(ngram_join, "CHUNK", 2)
+    monkeypatch.setattr(ngram_join, "NEXT", 1)
     check(spark, made(2))
 
 
