@@ -25,7 +25,7 @@ def test_definition():
     texts = ["".join(random.choices("abcdé 𝔘", k=n)) for n in (0, 3, 15, 16, 17, 80, 400)]
     for text, (place, hashes) in zip(texts, sy.closed_syncmers(texts)):
         if len(text) >= sy.K:
-            assert place.tolist() == plain(text, sy.K, sy.S)
+            assert place.tolist() == (plain(text, sy.K, sy.S) or [0])
         assert len(hashes) == len(place) and (len(place) > 0) == (len(text) > 0)
 
 

@@ -1,4 +1,15 @@
 """All queries of the corpus operators: importing this module registers them."""
 
-from urbanlake.llm import fixity, mixing, ngram_join, rules, secrets, suffixes  # noqa: F401
+from urbanlake.llm import (  # noqa: F401
+    fixity,
+    html_text,
+    mixing,
+    ngram_join,
+    packing,
+    rules,
+    secrets,
+    suffixes,
+    syncmers,
+    toxicity,
+)
 from urbanlake.llm.common import ORACLE, QUERIES  # noqa: F401

@@ -6,7 +6,8 @@ anchors wherever it stands, and an edit changes only the anchors that touch it.
 
 The anchors of a document are all its closed syncmers with their places. The fingerprint keeps the ``SKETCH`` anchors with
 the least hash, the leftmost of equal ones: anchors are chosen over the whole text, and two fingerprints estimate the share
-of common anchors as bottom sketches do. Texts shorter than a k-mer have one anchor, the whole text. The likeness of two
+of common anchors as bottom sketches do. Texts without a closed syncmer, as those shorter than a k-mer,
+have one anchor, the whole text. The likeness of two
 fingerprints is that share, counted over anchors that match in place: their shift must be within ``SLACK`` of the shift
 that most of them have, so that chance matches at scattered places do not count.
 """
@@ -61,7 +62,7 @@ def closed_syncmers(texts: list[str], k: int = K, s: int = S) -> list[tuple[np.n
     low, high = np.searchsorted(place, at[:-1]), np.searchsorted(place, at[1:] - k, "right")
     for i in range(len(texts)):
         size = at[i + 1] - at[i]
-        if 0 < size < k:
+        if size and high[i] <= low[i]:
             out.append((np.zeros(1, np.int64), V.mix(np.array([(codes[at[i] : at[i + 1]] * np.arange(1, size + 1, dtype=np.uint64)).sum() + np.uint64(size)], np.uint64))))
         else:
             out.append((place[low[i] : max(low[i], high[i])] - at[i], hashes[low[i] : max(low[i], high[i])]))
