@@ -27,9 +27,9 @@ def test_stages(spark, tmp_path):
     every, clean, single, redacted, mixed = ([tuple(r) for r in d.collect()] for d in seen)
     assert all(d.columns == cp.COLUMNS for d in seen)
 
-    toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").collect()}
+    fine = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 0").collect()}
     gone = {r[0] for r in every} - {r[0] for r in clean}
-    assert set(clean) <= set(every) and len(gone - toxic) <= 0.02 * len(every)
+    assert set(clean) <= set(every) and gone and len(gone & fine) <= 2
 
     sets = {r[0]: shingles(r[1]) for r in clean}
     top = {i: i for i in sets}
