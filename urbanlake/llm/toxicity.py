@@ -5,7 +5,7 @@ buckets; a gram counts once however often it occurs, so long texts are not loude
 
 1. The grams' document counts by class are summed over the training rows. A gram's scale is its log-count ratio
    ``r = log((p + 1) / (P + 2)) - log((q + 1) / (N + 2))``. Grams whose classes do not differ beyond chance (``LEAST_Z``)
-   are left out: their ratio is noise.
+   or by little (``LEAST_RATIO``) are left out: their ratio is noise.
 2. Logistic regression with an L2 penalty is fitted on ``r * presence``.
 3. Every document is scored with the product of scale and weight, a table of at most ``2 ** BITS`` numbers.
 
@@ -27,7 +27,7 @@ from urbanlake.session import stage
 LENGTHS = (4, 5, 6)
 BITS = 21
 TRAIN_ROWS = 20_000
-LEAST_Z, LEAST_DOCUMENTS = 4.0, 5
+LEAST_Z, LEAST_RATIO, LEAST_DOCUMENTS = 4.0, 1.0, 5
 PENALTY = 1.0
 #: A missed toxic text costs as much as this many false alarms.
 WEIGHT = 3.0
@@ -111,7 +111,7 @@ def ratios(counts: DataFrame, positives: int, negatives: int) -> DataFrame:
     rate = (p + q) / (big_p + big_n)
     z = (p / big_p - q / big_n) / F.sqrt(rate * (1 - rate) * (1 / big_p + 1 / big_n))
     ratio = F.log((p + 1) / (big_p + 2)) - F.log((q + 1) / (big_n + 2))
-    return counts.where((p + q >= LEAST_DOCUMENTS) & (rate < 1)).where(F.abs(z) >= LEAST_Z).select("bucket", ratio.alias("ratio"))
+    return counts.where((p + q >= LEAST_DOCUMENTS) & (rate < 1)).where((F.abs(z) >= LEAST_Z) & (F.abs(ratio) >= LEAST_RATIO)).select("bucket", ratio.alias("ratio"))
 
 
 def logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labels: np.ndarray, features: int, penalty: float = PENALTY, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -138,8 +138,9 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
     """Learn from the labelled documents; without any, every score is one half."""
+    # At most TRAIN_ROWS ids.
     known = training(labels, key, label, rows)
-    train = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(known, "doc_id")
+    train = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")
     train = stage(train.select("text", "label"), "toxicity-train")
     by_class = {r.label: r.n for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not by_class:
@@ -155,14 +156,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             out = []
             for _, count, owner, found in grams(batch.column("text").to_pylist()):
                 out += _present(lookup, owner, found, count)
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, pa.list_(pa.int32()))], names=["label", "features"])
-
-    rows_ = train.mapInArrow(hold, "label int, features array<int>").toPandas()
-    rows_ = rows_.iloc[np.lexsort((rows_["features"].map(len), rows_["label"]))]
-    length = rows_["features"].map(len).to_numpy()
-    at = np.repeat(np.arange(len(rows_)), length)
-    columns = np.concatenate([np.asarray(f, np.int64) for f in rows_["features"]]) if length.sum() else np.zeros(0, np.int64)
-    weights, bias = logistic(at, columns, ratio[columns], rows_["label"].to_numpy(float), len(buckets))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([f.tobytes() for f in out], pa.binary())], names=["label", "features"])
+
+    # At most TRAIN_ROWS rows of feature numbers, in an order that does not depend on the partitions.
+    held = train.mapInArrow(hold, "label int, features binary").toArrow().sort_by([("label", "ascending"), ("features", "ascending")])
+    features = [np.frombuffer(x.as_buffer(), np.int32) for x in held.column("features")]
+    at = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
+    columns = np.concatenate(features)
+    weights, bias = logistic(at, columns, ratio[columns], np.asarray(held.column("label"), float), len(buckets))
     return Model(buckets, weights * ratio, bias)
 
 
