@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
 from urbanlake.llm import syncmers as sy
@@ -48,13 +49,16 @@ def test_likeness():
 
 
 def test_next(spark):
-    rows = [(i * 7 % 101, f"t{i}") for i in range(101)] + [(None, "null"), (5, "tie")]
+    rows = [(i * 7 % 101, f"t{i}") for i in range(101)] + [(None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r.doc_id, r.text): r.next_text for r in sy.with_next(df, ["text"]).collect()}
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    read = lambda x: zstandard.ZstdDecompressor().decompress(x).decode()
+    got = {(r.doc_id, read(r.packed)): read(r.next_packed) for r in sy.with_next(df).collect()}
+    order = [(i, t or "") for i, t in sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))]
     assert got == {a: b[1] for a, b in zip(order, order[1:] + order[:1])}
-    assert sy.with_next(df.limit(0), ["text"]).count() == 0
-    assert sy.with_next(df.limit(1), ["text"]).first().next_text == df.first().text
+    assert sy.with_next(df.limit(0)).count() == 0
+    assert sy.with_next(df.union(df)).count() == 2 * len(rows)
+    one = sy.with_next(df.limit(1)).first()
+    assert one.packed == one.next_packed
 
 
 def test_query(spark):

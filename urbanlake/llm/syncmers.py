@@ -14,9 +14,12 @@ that most of them have, so that chance matches at scattered places do not count.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import zstandard
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -146,49 +149,69 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint")
     return kept.mapInArrow(read, schema)
 
 
-def likeness_of(a: str, b: str) -> Column:
-    """Likeness of two fingerprint columns."""
-
-    @F.pandas_udf("double")
-    def compare(x, y):
-        import pandas as pd
+def _packed(df: DataFrame, column: str) -> DataFrame:
+    """Replace a text column by its compressed bytes."""
+    schema = df.withColumn(column, F.col(column).cast("binary")).schema
 
-        return pd.Series([likeness(read_print(p), read_print(q)) for p, q in zip(x, y)])
+    def read(batches):
+        tool = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = batch.column(column).cast(pa.large_binary())
+            column_ = pa.array([tool.compress(x.as_buffer()) if x.is_valid else None for x in texts], pa.binary())
+            yield batch.set_column(batch.schema.get_field_index(column), column, column_)
 
-    return compare(F.col(a), F.col(b))
+    return df.mapInArrow(read, schema)
 
 
-def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
-    """Add ``next_<column>`` of the row that follows by falling ``key`` (nulls last); the last row is followed by the first.
+def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, packed, next_packed``: each row's compressed text and that of the row that follows by falling ``key``.
 
-    Ties go by the other columns. The rows are dealt to ranges of the key, whose number follows the shuffle partitions, and
-    sorted within them; the first row of each range is handed to the range before it.
+    Null keys come last, ties go by a hash of the text, and the last row is followed by the first. Rows are dealt to ranges of
+    the key, whose number follows the shuffle partitions, and sorted within them; the first row of each range is handed to
+    the range before it. Texts are compressed before they are shuffled, which they are once. Null texts count as empty.
     """
     count = partitions(docs.sparkSession)
     order = F.coalesce(F.col(key).cast("double"), F.lit(float("-inf")))
-    edges = docs.agg(F.percentile_approx(order, F.array(*(F.lit(i / count) for i in range(1, count))) if count > 1 else F.array(F.lit(0.5)), 100 * count).alias("edges")).first()["edges"]
-    if not edges:
-        return docs.select("*", *(F.lit(None).cast(docs.schema[c].dataType).alias(f"next_{c}") for c in columns))
-    limits = F.array(*(F.lit(float(e)) for e in sorted(set(edges), reverse=True)))
-    spread = docs.withColumn("_range", F.size(F.filter(limits, lambda e: e > order)))
-    ties = [F.col(c) for c in docs.columns if c != key]
-    follow = W.partitionBy("_range").orderBy(F.desc_nulls_last(key), *ties)
-    here = spread.select("*", F.lead(F.struct(*columns)).over(follow).alias("_next"), F.row_number().over(follow).alias("_row"))
-    # At most one row per range.
-    firsts = here.where("_row = 1").select("_range", F.struct(*columns).alias("_first"))
-    before = firsts.select(F.coalesce(F.lag("_range").over(W.partitionBy(F.lit(0)).orderBy("_range")), F.max("_range").over(W.partitionBy(F.lit(0)))).alias("_range"), "_first")
-    joined = here.join(before, "_range")
-    return joined.select(*docs.columns, *(F.coalesce("_next", "_first")[c].alias(f"next_{c}") for c in columns))
+    edges = docs.select(key).agg(F.percentile_approx(order, F.array(*(F.lit(i / count) for i in range(1, max(2, count)))), 100 * count).alias("edges")).first()["edges"]
+    limits = F.array(*(F.lit(float(e)) for e in sorted(set(edges or [0.0]), reverse=True)))
+    own = F.coalesce(F.col(text), F.lit(""))
+    spread = docs.select(F.size(F.filter(limits, lambda e: e > order)).alias("_range"), F.col(key).alias("_key"), F.xxhash64(own).alias("_tie"), own.alias("packed"))
+    follow = W.partitionBy("_range").orderBy(F.desc_nulls_last("_key"), "_tie")
+    here = _packed(spread, "packed").withColumn("_next", F.lead("packed").over(follow))
+    # At most one row per range; only these rows are looked at in one place.
+    firsts = _packed(spread.withColumn("_row", F.row_number().over(follow)).where("_row = 1").select("_range", "packed"), "packed")
+    everywhere = W.partitionBy(F.lit(0))
+    before = firsts.select(F.coalesce(F.lag("_range").over(everywhere.orderBy("_range")), F.max("_range").over(everywhere)).alias("_range"), F.col("packed").alias("_first"))
+    return here.join(before, "_range").select(F.col("_key").alias(key), "packed", F.coalesce("_next", "_first").alias("next_packed"))
+
+
+EDITED = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+EDITED_DDL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 @query("op8_syncmers")
 def syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and its edited text, with fingerprints and their likeness."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = with_next(fingerprints(docs), ["text", "fingerprint"])
-    size = F.length("text")
-    half = F.floor(size / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), size - half), F.substring("next_text", F.lit(1), half))
-    both = both.select("doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), "fingerprint", "next_fingerprint")
-    done = fingerprints(both, "edited", "edited_fingerprint")
-    return done.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", likeness_of("fingerprint", "edited_fingerprint").alias("near_edited"), likeness_of("fingerprint", "next_fingerprint").alias("near_next"))
+
+    def read(batches):
+        tool = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for a in range(0, batch.num_rows, 200):
+                part = batch.slice(a, 200)
+                own, after = ([tool.decompress(x.as_buffer()).decode() for x in part.column(c)] for c in ("packed", "next_packed"))
+                edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for t, n in zip(own, after)]
+                # The next text is mostly the next row's own: each text is looked at once.
+                texts = list(dict.fromkeys(own + after + edited))
+                prints = dict(zip(texts, _prints(texts)))
+                columns = [
+                    part.column("doc_id"),
+                    [len(t) for t in own],
+                    [hashlib.sha256(e.encode()).hexdigest() for e in edited],
+                    [prints[t].tobytes().hex() for t in own],
+                    [prints[e].tobytes().hex() for e in edited],
+                    [likeness(prints[t], prints[e]) for t, e in zip(own, edited)],
+                    [likeness(prints[t], prints[n]) for t, n in zip(own, after)],
+                ]
+                yield pa.RecordBatch.from_pydict(dict(zip(EDITED.names, columns)), schema=EDITED)
+
+    return with_next(table(spark, sf_dir, "documents").select("doc_id", "text")).mapInArrow(read, EDITED_DDL)
