@@ -445,9 +445,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     scanned = stage(scan(docs, n), "join-scan")
-    found = scanned.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "token").limit(FREQUENT).toPandas()
-    frequent = np.zeros(len(found), np.dtype([("token", "<u8"), ("times", "<i8")]))
-    frequent["token"], frequent["times"] = found["token"].to_numpy(np.int64).view(np.uint64), found["times"]
+    found = scanned.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "token").limit(FREQUENT).toArrow()
+    frequent = np.zeros(found.num_rows, np.dtype([("token", "<u8"), ("times", "<i8")]))
+    frequent["token"], frequent["times"] = np.asarray(found.column("token")).view(np.uint64), np.asarray(found.column("times"))
     frequent.sort(order="token")
     rows = scanned.where("token is null").select("doc_id", "size", "set_a", "set_b")
     classes = stage(rows.where("size > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("members")), "join-classes")

@@ -87,7 +87,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.transform(F.filter(rows, keep), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["word"].alias("word")))
 
     least = [ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST]
-    base = F.concat(*(spans(i, lambda s, n=least[i]: s["size"] >= n) for i in range(3)))
+    at_least = lambda n: lambda s: s["size"] >= n
+    base = F.concat(*(spans(i, at_least(n)) for i, n in enumerate(least)))
     df = df.withColumn("spans", base)
     free = F.filter(spans(3, lambda s: F.lit(True)), lambda t: ~F.exists(F.col("spans"), lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return df.withColumn("tokens", free).drop(*[c for c in df.columns if c.startswith("_")])
@@ -118,7 +119,7 @@ def battery(tokens: DataFrame, word: str = "word") -> DataFrame:
     plain = F.when(F.col("encoding").isin("hex", "base36"), F.lower(plain)).otherwise(plain)
     df = df.withColumn("_plain", plain).withColumn("_alphabet", alphabet).withColumn("_m", m)
     df = df.withColumn("_index", F.transform(F.split("_plain", ""), lambda c: F.instr(F.col("_alphabet"), c).cast("double") - 1))
-    df = df.withColumn("_index", F.filter("_index", lambda x: x >= 0)).withColumn("_n", F.size("_index").cast("double"))
+    df = stage(df.withColumn("_index", F.filter("_index", lambda x: x >= 0)).withColumn("_n", F.size("_index").cast("double")), "secrets-index")
     counts = F.transform(F.array_distinct("_index"), lambda s: F.size(F.filter(F.col("_index"), lambda x: x == s)).cast("double"))
     df = df.withColumn("_squares", F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c))
     n, m = F.col("_n"), F.col("_m")
@@ -128,10 +129,12 @@ def battery(tokens: DataFrame, word: str = "word") -> DataFrame:
     df = df.withColumn("_pairs", pairs).withColumn("_mean", F.aggregate("_index", F.lit(0.0), lambda a, x: a + x) / n)
     runs = F.size(F.filter("_pairs", lambda p: (p["a"] * 2 < m) != (p["b"] * 2 < m))) + 1
     df = df.withColumn("_z_runs", (runs - (n + 1) / 2) / F.sqrt((n - 1) / 4))
+    # The tests are written before they are combined: as one plan, each would be repeated many times over.
     mean = F.col("_mean")
     lagged = F.aggregate("_pairs", F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean))
     spread = F.aggregate("_index", F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
     df = df.withColumn("_z_serial", F.when(spread > 0, (lagged / spread + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n)))
+    df = stage(df, "secrets-tests")
     floor = F.lit(1e-30)
     p = [F.greatest(floor, _tail(F.least(F.lit(20.0), F.col("_z_chi")))), *(F.greatest(floor, F.least(F.lit(1.0), 2 * _tail(F.least(F.lit(20.0), F.abs(F.col(c)))))) for c in ("_z_runs", "_z_serial"))]
     x = -(F.log(p[0]) + F.log(p[1]) + F.log(p[2]))
@@ -168,7 +171,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: float =
     scanned = stage(scan(docs.select(key, text), text).select(key, F.xxhash64(key, text).alias("text_hash"), "spans", "tokens"), "secrets-scan")
     tokens = scanned.where(F.size("tokens") > 0).dropDuplicates([key, "text_hash"]).select(F.col("text_hash").alias("hash_"), F.explode("tokens").alias("t"))
     tokens = tokens.select("hash_", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.word").alias("word"))
-    found = discoveries(battery(tokens), rate)
+    found = discoveries(stage(battery(tokens), "secrets-battery"), rate)
     extra = found.groupBy("hash_").agg(F.collect_list(F.struct(F.lit(3).alias("kind"), "start", "end", "word")).alias("_extra"))
     joined = scanned.join(extra, F.col("text_hash") == F.col("hash_"), "left")
     every = F.concat("spans", F.coalesce("_extra", F.array().cast("array<struct<kind:int,start:int,end:int,word:string>>")))
@@ -181,14 +184,14 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str =
 
     Every document stays, whatever it held; columns keep their order.
     """
-    found = find(docs, key, text, rate).where(F.size("spans") > 0).dropDuplicates(["text_hash"]).select("text_hash", "spans")
-    hashed = docs.withColumn("text_hash", F.xxhash64(key, text)).join(found, "text_hash", "left")
+    found = find(docs, key, text, rate).where(F.size("spans") > 0).dropDuplicates(["text_hash"]).select(F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
+    hashed = docs.join(found, F.xxhash64(docs[key], docs[text]) == F.col("_hash"), "left")
     piece = lambda a, s: F.struct(
         F.greatest(a["at"], s["end"]).alias("at"),
         F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).alias("out"),
     )
-    done = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), piece, lambda a: F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, F.length(text))))
-    return hashed.withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(done)).select(*docs.columns)
+    done = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), piece, lambda a: F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, F.length(text))))
+    return hashed.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(done)).select(*docs.columns)
 
 
 def marks(spans: Column) -> Column:

@@ -146,8 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not by_class:
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0)
     # At most 2 ** BITS rows.
-    scale = ratios(class_counts(train), by_class.get(1, 0), by_class.get(0, 0)).toPandas().sort_values("bucket")
-    buckets, ratio = scale["bucket"].to_numpy(np.int64), scale["ratio"].to_numpy(float)
+    scale = ratios(class_counts(train), by_class.get(1, 0), by_class.get(0, 0)).toArrow().sort_by("bucket")
+    buckets, ratio = np.asarray(scale.column("bucket"), np.int64), np.asarray(scale.column("ratio"), float)
     shared = docs.sparkSession.sparkContext.broadcast(buckets)
 
     def hold(batches):
@@ -158,13 +158,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 out += _present(lookup, owner, found, count)
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([f.tobytes() for f in out], pa.binary())], names=["label", "features"])
 
-    # At most TRAIN_ROWS rows of feature numbers, in an order that does not depend on the partitions.
-    held = train.mapInArrow(hold, "label int, features binary").toArrow().sort_by([("label", "ascending"), ("features", "ascending")])
-    features = [np.frombuffer(x.as_buffer(), np.int32) for x in held.column("features")]
-    at = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
-    columns = np.concatenate(features)
-    weights, bias = logistic(at, columns, ratio[columns], np.asarray(held.column("label"), float), len(buckets))
-    return Model(buckets, weights * ratio, bias)
+    def learn(group):
+        """At most TRAIN_ROWS rows of feature numbers, put in an order that does not depend on the partitions."""
+        group = group.sort_by([("label", "ascending"), ("features", "ascending")])
+        features = [np.frombuffer(x.as_buffer(), np.int32) for x in group.column("features")]
+        at = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
+        columns = np.concatenate(features)
+        weights, bias = logistic(at, columns, ratio[columns], np.asarray(group.column("label"), float), len(ratio))
+        return pa.table({"weights": pa.array([weights.tolist()], pa.list_(pa.float64())), "bias": pa.array([bias], pa.float64())})
+
+    held = train.mapInArrow(hold, "label int, features binary").groupBy(F.lit(0).alias("all")).applyInArrow(learn, "weights array<double>, bias double")
+    found = held.first()
+    return Model(buckets, np.array(found["weights"]) * ratio, found["bias"])
 
 
 def _lookup(buckets: np.ndarray, values: np.ndarray) -> np.ndarray:
