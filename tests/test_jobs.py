@@ -1,6 +1,7 @@
 """Jobs over stored tables: repeated, late and split loads give what one load gives."""
 
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,3 +212,49 @@ def test_streaming_intake(spark, scratch):
     merge_landed(*args)
     merge_landed(*args)
     assert rows(tables.read(spark, target), "k", "v") == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_rates_without_currency_id_stay_apart(spark, scratch):
+    silver, gold = scratch + "/fx", scratch + "/fct"
+    schema = "rate_date date, from_currency string, to_currency string, rate decimal(18,6), loaded_at timestamp_ntz"
+    currency = spark.createDataFrame([(1, "EUR")], "id int, currency_name string")
+    day = date(2024, 1, 5)
+    first = [(day, "XXA", "XXB", Decimal(1), L1), (day, "XXC", "XXD", Decimal(2), L1)]
+    spark.createDataFrame(first, schema).write.parquet(silver)
+    mark = jobs.refresh_fx(spark, silver, currency, gold, None).watermark
+    spark.createDataFrame([(day, "XXA", "XXB", Decimal(3), L2)], schema).write.mode("append").parquet(silver)
+    jobs.refresh_fx(spark, silver, currency, gold, mark)
+    assert [(a, int(r)) for a, r in rows(tables.read(spark, gold), "from_currency", "rate")] == [("XXA", 3), ("XXC", 2)]
+
+
+def test_month_without_passing_rows_succeeds_and_is_emptied(spark, scratch):
+    silver = scratch + "/silver"
+    month_file(spark, scratch + "/a", "2023-01", OLD, [trip((1, 1), 5, 10.0, 0.0)])
+    month_file(spark, scratch + "/a", "2023-02", OLD, [trip((2, 1), 5, 10.0, 0.0)])
+    jobs.load_trip_months(spark, scratch + "/a", silver, ["2023-01", "2023-02"], "taxi", L1)
+    spark.createDataFrame([trip((1, 1), 5, -1.0, 0.0)], OLD).write.parquet(scratch + "/b/year=2023/month=1")
+    results, failed = jobs.load_trip_months(spark, scratch + "/b", silver, ["2023-01"], "taxi", L2)
+    assert rows(results, "partition_key", "new_status", "rows_written") == [("2023-01", "succeeded", 0)] and not failed
+    assert rows(tables.read(spark, silver).select("year", "month").distinct()) == [(2023, 2)]
+
+
+def test_many_partitions_in_one_predicate(spark):
+    from urbanlake.sources import files
+
+    values = [(y, m) for y in range(5000) for m in (1, None)]
+    df = spark.createDataFrame([(7, 1), (7, 2), (4999, None)], "year int, month int")
+    assert df.filter(tables.any_of(["year", "month"], values)).count() == 2
+    assert df.filter(tables.any_of(["year"], [(y,) for y in range(5000)])).count() == 3
+    assert df.filter(files.months_filter(f"{y:04d}-02" for y in range(5000))).count() == 1
+    assert df.filter(files.months_filter([])).count() == 0
+
+
+def test_upsert_leaves_no_scratch(spark, scratch):
+    import glob
+
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    df = spark.createDataFrame([(1, 1, "a")], "k int, p int, v string")
+    tables.upsert_table(df, scratch + "/t", ["k"], ["p"])
+    tables.upsert_table(df.withColumn("v", F.lit("b")), scratch + "/t", ["k"], ["p"])
+    assert rows(tables.read(spark, scratch + "/t"), "v") == [("b",)]
+    assert not glob.glob(f"{root}/urbanlake/upsert-*")

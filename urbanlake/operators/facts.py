@@ -159,27 +159,30 @@ def zoned_readings(measurements: DataFrame, zones: DataFrame) -> DataFrame:
     return clean.filter_in_set(placed, "parameter", clean.POLLUTANTS).withColumn("parameter", F.lower("parameter"))
 
 
-def air_fact_of(readings: DataFrame, params: DataFrame, grain: str = "day") -> DataFrame:
-    """Average reading per zone, date and parameter (and hour); ``sensor_count`` counts rows."""
+def air_fact_of(readings: DataFrame, params: DataFrame, grain: str = "day", named: bool = False) -> DataFrame:
+    """Average reading per zone, date and parameter (and hour); ``sensor_count`` counts rows.
+
+    ``named`` keeps the parameter's name, which tells rows apart that have no id.
+    """
     if grain not in ("day", "hour"):
         raise ValueError(f"unknown grain: {grain}")
     keys = ["zone_id", date_key("measurement_date").alias("date_key"), "parameter"]
     if grain == "hour":
         keys.append(F.col("hour_utc").alias("hour"))
     fact = readings.groupBy(*keys).agg(F.avg("value").alias("avg_value"), F.count("*").alias("sensor_count"))
-    return lookup(fact, params, {"parameter": "p_name"}, {"p_id": "p_id"}).drop("parameter")
+    return lookup(fact, params, {"parameter": "p_name"}, {"p_id": "p_id"}).drop(*([] if named else ["parameter"]))
 
 
 def air_fact(measurements: DataFrame, zones: DataFrame, params: DataFrame, grain: str = "day") -> DataFrame:
     return air_fact_of(zoned_readings(measurements, zones), params, grain)
 
 
-def fx_fact(fx: DataFrame, currency: DataFrame) -> DataFrame:
-    """Rates with the ids of both currencies."""
+def fx_fact(fx: DataFrame, currency: DataFrame, named: bool = False) -> DataFrame:
+    """Rates with the ids of both currencies; ``named`` keeps their names, which tell rows apart that have no id."""
     roles = {"from_currency": "id_cur_from", "to_currency": "id_cur_to"}
     keyed = fx.withColumn("date_key", date_key("rate_date"))
     return role_lookup(keyed, currency, "currency_name", "id", roles).select(
-        "date_key", "id_cur_from", "id_cur_to", "rate"
+        "date_key", "id_cur_from", "id_cur_to", "rate", *(["from_currency", "to_currency"] if named else [])
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from urbanlake.operators.dims import PARAMETERS
 from urbanlake.operators.joins import yearly_join
 from urbanlake.operators.measures import Model, measure
 
@@ -15,9 +14,9 @@ def overview(model: Model) -> DataFrame:
 
 
 def coverage_matrix(model: Model) -> DataFrame:
-    """Sensor rows by zone and parameter; the columns are the known parameters."""
+    """Sensor rows by zone and parameter; the columns are the parameters of the dimension, which is read for them."""
     named = model["fct_air_quality"].join(model["dm_air_measurement"].select("p_id", "p_name"), "p_id")
-    names = [p[1] for p in PARAMETERS]
+    names = [r[0] for r in model["dm_air_measurement"].select("p_name").where("p_name is not null").distinct().orderBy("p_name").collect()]
     return named.groupBy("zone_id").pivot("p_name", names).agg(F.sum("sensor_count"))
 
 

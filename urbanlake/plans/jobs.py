@@ -53,24 +53,25 @@ def load_trip_months(
     A month that cannot be read is reported and skipped. Returns results for
     the ledger (rows per month) and the failed (key, message) pairs.
     """
-    good, failed = [], []
+    good, failed, read = [], [], []
     for key in keys:
         year, month = key.split("-")
         try:
-            raw = spark.read.parquet(f"{root}/year={year}/month={month}")
+            raw = _month_folder(spark, root, int(year), int(month))
             trips = normalize_schema(raw, TRIP_TYPES)
             good.append(trips.withColumns({"year": F.lit(int(year)), "month": F.lit(int(month))}))
+            read.append(key)
         except Exception as error:
-            failed.append((key, str(error)[:500]))
+            failed.append((key, str(error)))
     counts = spark.createDataFrame([], "source_name string, partition_key string, rows_written bigint")
     if good:
         staged = stage(facts.silver_trips(union_drift(good), source, load_ts), "trips")
         tables.overwrite_partitions(staged, target, ["year", "month"], clustered=True)
-        counts = staged.groupBy("year", "month").agg(F.count("*").alias("rows_written")).select(
-            F.lit(source).alias("source_name"),
-            F.format_string("%04d-%02d", "year", "month").alias("partition_key"),
-            "rows_written",
-        )
+        # At most one row per month asked for. A month without passing rows succeeded with none and holds none.
+        written = {(r.year, r.month): r["count"] for r in staged.groupBy("year", "month").count().collect()}
+        months = {key: tuple(map(int, key.split("-"))) for key in read}
+        tables.clear_partitions(spark, target, ["year", "month"], [m for m in months.values() if m not in written])
+        counts = spark.createDataFrame([(source, key, written.get(m, 0)) for key, m in months.items()], counts.schema)
     results = counts.withColumns(
         {"new_status": F.lit("succeeded"), "message": F.lit(None).cast("string")}
     )
@@ -83,6 +84,12 @@ def load_trip_months(
     return results, failed
 
 
+def _month_folder(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
+    """The files of a month, whose folder may be spelled with or without the leading zero."""
+    found = [p for m in dict.fromkeys((f"{month:02d}", str(month))) if tables.exists(spark, p := f"{root}/year={year}/month={m}")]
+    return spark.read.option("mergeSchema", True).parquet(*(found or [f"{root}/year={year}/month={month:02d}"]))
+
+
 def load_archive_month(
     spark: SparkSession,
     root: str,
@@ -241,10 +248,10 @@ def refresh_air(
     watermark: datetime | None,
     grain: str = "day",
 ) -> Result:
-    keys = ["date_key", "zone_id", "p_id", *(["hour"] if grain == "hour" else [])]
+    keys = ["date_key", "zone_id", "parameter", *(["hour"] if grain == "hour" else [])]
     touched = ["measurement_date", "zone_id", "parameter", *(["hour_utc"] if grain == "hour" else [])]
     readings = facts.zoned_readings(tables.read(spark, silver), tables.read(spark, zones).select("sensor_id", "zone_id"))
-    build = partial(facts.air_fact_of, params=params, grain=grain)
+    build = partial(facts.air_fact_of, params=params, grain=grain, named=True)
     return _refresh(spark, readings, target, watermark, "measurement_date", touched, keys, build)
 
 
@@ -280,9 +287,10 @@ def _month_of(date_key: Column) -> Column:
 
 def refresh_fx(spark: SparkSession, silver: str, currency: DataFrame, target: str, watermark: datetime | None) -> Result:
     def build(new: DataFrame) -> DataFrame:
-        return facts.fx_fact(new, currency).withColumn("month_key", _month_of(F.col("date_key")))
+        return facts.fx_fact(new, currency, named=True).withColumn("month_key", _month_of(F.col("date_key")))
 
-    keys = ["date_key", "id_cur_from", "id_cur_to"]
+    # Names, not ids: currencies that the dimension lacks all have a null id, but are not the same.
+    keys = ["date_key", "from_currency", "to_currency"]
     return _refresh_rows(spark, silver, target, watermark, build, keys, ["month_key"])
 
 

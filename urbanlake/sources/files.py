@@ -7,6 +7,8 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from urbanlake.sources.tables import any_of
+
 # Schemas of the landed CSV files.
 ARCHIVE_SCHEMA = (
     "location_id bigint, sensors_id bigint, location string, datetime string, lat double, lon double, "
@@ -31,11 +33,7 @@ ZONE_COLUMNS = {
 
 def months_filter(keys: Iterable[str]) -> Column:
     """Partition predicate for ``yyyy-MM`` keys on the ``year``/``month`` columns."""
-    out = F.lit(False)
-    for key in keys:
-        year, month = key.split("-")
-        out = out | ((F.col("year") == int(year)) & (F.col("month") == int(month)))
-    return out
+    return any_of(["year", "month"], [tuple(map(int, key.split("-"))) for key in keys])
 
 
 def scan_months(spark: SparkSession, root: str, keys: Iterable[str]) -> DataFrame:

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import logging
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from urbanlake.operators.merge import upsert
-from urbanlake.session import stage
+from urbanlake.session import delete_folder, stage, unstage
 
 
 log = logging.getLogger(__name__)
@@ -112,6 +111,9 @@ def upsert_table(
     staged = stage(spread(merged, partition_by), "upsert-merged")
     log.info("partitions of %s staged in %s", target, staged.inputFiles()[:1])
     overwrite_partitions(staged, target, partition_by, clustered=True)
+    # Kept only where the swap failed.
+    unstage(staged)
+    unstage(batch)
 
 
 def _in_partitions(batch: DataFrame, partition_by: list[str]) -> Column:
@@ -121,8 +123,39 @@ def _in_partitions(batch: DataFrame, partition_by: list[str]) -> Column:
     the write; a literal predicate prunes folders whatever the join strategy.
     """
     touched = batch.select(*partition_by).distinct().collect()
-    same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched]
-    return reduce(lambda a, b: a | b, same, F.lit(False))
+    return any_of(partition_by, [tuple(row) for row in touched])
+
+
+def any_of(columns: list[str], values: list[tuple]) -> Column:
+    """Whether the columns hold one of the value tuples; nulls equal nulls.
+
+    One ``IN`` list per value of the columns before the last, and these joined
+    in pairs, so that the depth grows with the logarithm of their number.
+    """
+    head, *rest = columns
+    if not rest:
+        plain = [v for (v,) in values if v is not None]
+        listed = F.coalesce(F.col(head).isin(plain), F.lit(False)) if plain else F.lit(False)
+        return listed | F.col(head).isNull() if len(plain) < len(values) else listed
+    groups: dict = {}
+    for value, *more in values:
+        groups.setdefault(value, []).append(tuple(more))
+    parts = [F.col(head).eqNullSafe(F.lit(v)) & any_of(rest, group) for v, group in groups.items()] or [F.lit(False)]
+    while len(parts) > 1:
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2 :]
+    return parts[0]
+
+
+def clear_partitions(spark: SparkSession, target: str, partition_by: list[str], values: list[tuple]) -> None:
+    """Drop partitions that a reload found empty: an overwrite only replaces those it has rows for."""
+    if not exists(spark, target):
+        return
+    for value in values:
+        if _is_path(target):
+            delete_folder(spark, "/".join([target.rstrip("/"), *(f"{c}={v}" for c, v in zip(partition_by, value))]))
+        else:
+            spec = ", ".join(f"{c}={v!r}" for c, v in zip(partition_by, value))
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})")
 
 
 def partition_counts(df: DataFrame, keys: list[str]) -> DataFrame:
