@@ -29,8 +29,6 @@ BITS = 21
 TRAIN_ROWS = 20_000
 LEAST_Z, LEAST_RATIO, LEAST_DOCUMENTS = 4.0, 1.0, 5
 PENALTY = 1.0
-#: A missed toxic text costs as much as this many false alarms.
-WEIGHT = 3.0
 FACTOR = np.uint64(0x100000001B3)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 PAD = "\x00" * (max(LENGTHS) - 1)
@@ -118,10 +116,10 @@ def logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labels:
     """Weights and bias by gradient steps scaled per weight; entries are given as coordinates."""
     weights, bias = np.zeros(features), 0.0
     mean, square, t = np.zeros(features + 1), np.zeros(features + 1), 0
-    n, cost = max(len(labels), 1), np.where(labels > 0, WEIGHT, 1.0)
+    n = max(len(labels), 1)
     for t in range(1, steps + 1):
         score = np.bincount(rows, weights[columns] * values, minlength=len(labels)) + bias
-        error = (1 / (1 + np.exp(-np.clip(score, -50, 50))) - labels) * cost
+        error = 1 / (1 + np.exp(-np.clip(score, -50, 50))) - labels
         slope = np.append(np.bincount(columns, error[rows] * values, minlength=features) + penalty * weights, error.sum()) / n
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         move = 0.05 * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-8)
