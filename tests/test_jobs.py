@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from tests.test_sources import archive, land, pages
 from urbanlake.operators import control, dims, facts, timeseries
 from urbanlake.plans import jobs
@@ -227,6 +227,42 @@ def test_rates_without_currency_id_stay_apart(spark, scratch):
     assert [(a, int(r)) for a, r in rows(tables.read(spark, gold), "from_currency", "rate")] == [("XXA", 3), ("XXC", 2)]
 
 
+def test_rejects_are_stored(spark, scratch):
+    landed_trips(spark, scratch + "/in")
+    silver, bad = scratch + "/silver", scratch + "/bad"
+    for _ in range(2):
+        jobs.load_trip_months(spark, scratch + "/in", silver, ["2023-01", "2023-02"], "taxi", L1, bad)
+    assert rows(tables.read(spark, bad), "fare_amount", "reject_reasons", "source_system", "month") == [(-1.0, ["fare"], "taxi", 1)]
+    assert tables.read(spark, silver).count() == 3
+    schema = "sensor_id int, location_id int, parameter string, units string, date_utc date, hour_utc int, value double, reading_count int, loaded_at timestamp"
+    data = [(1, 1, "o3", "ppm", date(2024, 1, 1), h, v, 1, L1) for h, v in ((1, 2.0), (2, -1.0), (30, 1.0))]
+    tables.append(spark.createDataFrame(data, schema), scratch + "/b")
+    assert jobs.merge_hourly(spark, scratch + "/b", scratch + "/s", None, scratch + "/r").rows == 1
+    assert tables.read(spark, scratch + "/r").count() == 2
+    assert jobs.merge_hourly(spark, scratch + "/b", scratch + "/s", L1, scratch + "/r").rows == 0
+
+
+def test_new_columns_of_a_load_reach_the_merge(spark, scratch):
+    schema = "sensor_id int, location_id int, parameter string, units string, date_utc date, hour_utc int, value double, loaded_at timestamp"
+    day = date(2024, 1, 1)
+    tables.append(spark.createDataFrame([(1, 1, "o3", "ppm", day, 1, 2.0, L1)], schema), scratch + "/b")
+    late = spark.createDataFrame([(1, 1, "o3", "ppm", day, 2, 3.0, L2, 7)], schema + ", reading_count int")
+    tables.append(late, scratch + "/b")
+    jobs.merge_hourly(spark, scratch + "/b", scratch + "/s", None)
+    assert rows(tables.read(spark, scratch + "/s"), "hour_utc", "reading_count") == [(1, None), (2, 7)]
+
+
+def test_touched_months_prune_folders(spark, scratch):
+    df = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2024-12-31')) AS d").selectExpr("d", "year(d) AS year", "month(d) AS month")
+    tables.overwrite_partitions(df, scratch + "/t", ["year", "month"])
+    months = [date(2020, 3, 1), date(2023, 12, 1), date(2024, 1, 1)]
+    got = tables.read(spark, scratch + "/t").filter(jobs.touched_months("d", months, foldered=True))
+    assert got.count() == 31 * 3 and len({f.rsplit("/", 1)[0] for f in got.inputFiles()}) >= 3
+    text = plan(got).split("== Physical Plan ==")[1]
+    assert "year" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert tables.read(spark, scratch + "/t").filter(jobs.touched_months("d", [])).count() == 0
+
+
 def test_month_without_passing_rows_succeeds_and_is_emptied(spark, scratch):
     silver = scratch + "/silver"
     month_file(spark, scratch + "/a", "2023-01", OLD, [trip((1, 1), 5, 10.0, 0.0)])

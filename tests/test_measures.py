@@ -58,8 +58,23 @@ def test_filters(model):
     assert measure("trips", model, filters={"dm_zone.borough": ["Queens"], "dm_date.year_month": ["2023-01"]}).first()[0] == 40
     assert measure("avg_pollution", model, filters={"dm_payment.payment_type": ["Cash"]}).first()[0] == 6.0
     assert measure("trips", model, filters={"dm_zone.zone_id": [2]}).first()[0] == 1
+
+
+def test_currencies(model):
+    by, to = ["dm_currency.currency_name"], [("fct_fx_daily", "dm_currency")]
+    assert rows(measure("eur_rate", model, by)) == [("USD", 0.375)]
+    assert rows(measure("eur_rate", model, by, inactive=to)) == [("EUR", 0.375)]
+    assert measure("eur_rate", model, filters={"dm_currency.currency_name": ["EUR"]}).first()[0] is None
+    assert measure("eur_rate", model, filters={"dm_currency.currency_name": ["EUR"]}, inactive=to).first()[0] == 0.375
+    assert measure("revenue_eur", model, filters={"dm_currency.currency_name": ["EUR"]}).first()[0] is None
     with pytest.raises(ValueError):
-        measure("avg_pollution", model, ["dm_payment.payment_type"])
+        measure("revenue_eur", model, by)
+
+
+def test_unrelated_dimension_repeats_the_value(model):
+    assert rows(measure("avg_pollution", model, ["dm_payment.payment_type"], {"dm_payment.id": [1, 2]})) == [("Cash", 6.0), ("Credit card", 6.0)]
+    got = rows(measure("revenue_eur_div", model, ["dm_zone.zone_id", "dm_date.year"]))
+    assert got == [(1, 2023, 400.0 / 0.375), (2, 2023, None), (2, 2024, None), (3, 2023, None)]
 
 
 def test_gdp_is_filtered_not_multiplied(model):

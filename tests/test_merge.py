@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from functools import partial
 
 import pytest
 
@@ -56,11 +57,11 @@ def test_late_rows_rebuild_whole_groups(spark):
     ]
     silver = spark.createDataFrame(data, cols)
     old = facts.taxi_fact(incremental(silver, "loaded_at", None, t[0]))
-    keys, fact_keys = ["trip_date", "pulocationid", "payment_type"], ["date_key", "pickup_zone_id", "payment_id"]
-    new = merge.refresh_fact(old, silver, keys, fact_keys, facts.taxi_fact, t[0], t[1])
+    keys, build = ["date_key", "pickup_zone_id", "payment_id"], partial(facts.taxi_fact, newest="loaded_at")
+    new = merge.refresh_fact(old, silver, keys, build, t[0], t[1])
     full = facts.taxi_fact(incremental(silver, "loaded_at", None, t[1]))
     assert rows(new) == rows(full)
-    again = merge.refresh_fact(new, silver, keys, fact_keys, facts.taxi_fact, t[0], t[1])
+    again = merge.refresh_fact(new, silver, keys, build, t[0], t[1])
     assert rows(again) == rows(full)
 
 
@@ -86,6 +87,15 @@ def test_upsert_table_touches_only_its_partitions(spark, scratch, catalog):
         spark.sql("DROP DATABASE lake CASCADE")
 
 
+def test_appended_columns_reach_a_catalog_table(spark, scratch):
+    spark.sql(f"CREATE DATABASE drift LOCATION '{scratch}/drift'")
+    tables.append(spark.createDataFrame([(1, "a", 1)], "k int, v string, p int"), "drift.t", ["p"])
+    tables.append(spark.createDataFrame([(2.5, 1, 2)], "w double, p int, k int"), "drift.t", ["p"])
+    tables.append(spark.createDataFrame([("c", 3, 2)], "v string, k int, p int"), "drift.t", ["p"])
+    assert rows(tables.read(spark, "drift.t"), "k", "v", "w", "p") == [(1, "a", None, 1), (2, None, 2.5, 1), (3, "c", None, 2)]
+    spark.sql("DROP DATABASE drift CASCADE")
+
+
 def test_overwrite_keeps_other_partitions(spark, scratch):
     path = f"{scratch}/t"
     tables.overwrite_partitions(spark.createDataFrame([(1, 1), (2, 2)], "v int, p int"), path, ["p"])

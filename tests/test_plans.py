@@ -1,9 +1,11 @@
 """What reaches the scan, and how rows move."""
 
+from functools import partial
+
 import __spark_entry__ as entry
 from tests.conftest import plan
 from urbanlake.operators import clean, facts, merge
-from urbanlake.queries import bindings as b
+from urbanlake.queries import QUERIES, bindings as b
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,6 +30,13 @@ def test_fact_is_one_shuffle_with_partial_aggregation(spark):
     assert "l_tax" not in text
 
 
+def test_refreshed_fact_needs_no_semi_join(spark):
+    trips = b.trips(spark, SF)
+    text = plan(merge.touched_groups(trips, partial(facts.taxi_fact, newest="loaded_at"), "loaded_at", "2002-01-01 12:00:00"))
+    physical = text.split("== Physical Plan ==")[1]
+    assert "Join" not in physical and physical.count("Exchange hashpartitioning") == 1
+
+
 def test_required_lookup_is_an_inner_join(spark):
     text = plan(entry.queries()["join_zone_lookup"](spark, SF)).split("== Optimized Logical Plan ==")[1]
     assert "Join Inner" in text.split("== Physical Plan ==")[0]
@@ -45,6 +54,6 @@ def test_latest_is_limited_before_the_shuffle(spark):
 
 
 def test_no_query_runs_python_per_row(spark):
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         text = plan(query(spark, SF))
         assert "Python" not in text and "InPandas" not in text, name

@@ -129,10 +129,11 @@ def rollup_readings(raw: DataFrame, grain: str = "hour") -> DataFrame:
     )
 
 
-def taxi_fact(trips: DataFrame, grain: str = "day") -> DataFrame:
+def taxi_fact(trips: DataFrame, grain: str = "day", newest: str | None = None) -> DataFrame:
     """Trip totals per date, pickup zone and payment (and hour).
 
     Passengers are a bigint, so that a very large group cannot overflow.
+    ``newest`` names a column whose maximum is added to each group.
     """
     if grain not in ("day", "hour"):
         raise ValueError(f"unknown grain: {grain}")
@@ -150,6 +151,7 @@ def taxi_fact(trips: DataFrame, grain: str = "day") -> DataFrame:
         F.sum("trip_distance").alias("total_distance_miles"),
         F.avg("trip_duration_min").alias("avg_trip_duration_min"),
         F.sum("passenger_count").cast("bigint").alias("total_passengers"),
+        *([F.max(newest).alias(newest)] if newest else []),
     )
 
 
@@ -159,17 +161,21 @@ def zoned_readings(measurements: DataFrame, zones: DataFrame) -> DataFrame:
     return clean.filter_in_set(placed, "parameter", clean.POLLUTANTS).withColumn("parameter", F.lower("parameter"))
 
 
-def air_fact_of(readings: DataFrame, params: DataFrame, grain: str = "day", named: bool = False) -> DataFrame:
+def air_fact_of(
+    readings: DataFrame, params: DataFrame, grain: str = "day", named: bool = False, newest: str | None = None
+) -> DataFrame:
     """Average reading per zone, date and parameter (and hour); ``sensor_count`` counts rows.
 
     ``named`` keeps the parameter's name, which tells rows apart that have no id.
+    ``newest`` names a column whose maximum is added to each group.
     """
     if grain not in ("day", "hour"):
         raise ValueError(f"unknown grain: {grain}")
     keys = ["zone_id", date_key("measurement_date").alias("date_key"), "parameter"]
     if grain == "hour":
         keys.append(F.col("hour_utc").alias("hour"))
-    fact = readings.groupBy(*keys).agg(F.avg("value").alias("avg_value"), F.count("*").alias("sensor_count"))
+    stamp = [F.max(newest).alias(newest)] if newest else []
+    fact = readings.groupBy(*keys).agg(F.avg("value").alias("avg_value"), F.count("*").alias("sensor_count"), *stamp)
     return lookup(fact, params, {"parameter": "p_name"}, {"p_id": "p_id"}).drop(*([] if named else ["parameter"]))
 
 

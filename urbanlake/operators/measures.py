@@ -6,8 +6,8 @@ dimension column as ``dm_zone.borough``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Iterable
+from functools import partial, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,15 +34,18 @@ RELATIONSHIPS = {
         "dm_zone": ("zone_id", "zone_id"),
         "dm_air_measurement": ("p_id", "p_id"),
     },
-    "fct_fx_daily": {"dm_date": ("date_key", "date_key")},
+    "fct_fx_daily": {"dm_date": ("date_key", "date_key"), "dm_currency": ("id_cur_from", "id")},
     "fct_gdp_yearly": {"dm_date": ("year", "year")},
 }
+# Relationships that only hold where they are asked for, in place of the one above.
+INACTIVE = {("fct_fx_daily", "dm_currency"): ("id_cur_to", "id")}
 # dm_date holds many rows per year, so this relationship only filters.
 MANY_TO_MANY = {("fct_gdp_yearly", "dm_date")}
 HOUR = "hour"
 
 Model = dict[str, DataFrame]
 Filters = dict[str, list]
+Inactive = Iterable[tuple[str, str]]
 
 
 class Base(NamedTuple):
@@ -78,13 +81,19 @@ RATIO = {
 }
 
 
-def _scoped(model: Model, fact: str, frame: DataFrame, group_by: list[str], filters: Filters) -> DataFrame:
+def _related(fact: str, inactive: Inactive) -> dict[str, tuple[str, str]]:
+    return RELATIONSHIPS[fact] | {table: INACTIVE[f, table] for f, table in inactive if f == fact}
+
+
+def _scoped(
+    model: Model, fact: str, frame: DataFrame, group_by: list[str], filters: Filters, inactive: Inactive = ()
+) -> DataFrame:
     """``frame`` restricted by the filters, with the grouping columns attached.
 
     Only dimensions that are used are joined; the key itself needs no join.
     Filters on unrelated dimensions have no effect.
     """
-    related = RELATIONSHIPS[fact]
+    related = _related(fact, inactive)
     group: dict[str, dict[str, str]] = {}
     for path in group_by:
         table, _, column = path.rpartition(".")
@@ -133,27 +142,61 @@ def _groups(group_by: list[str]) -> list[str]:
     return [g.replace(".", "_") for g in group_by]
 
 
-def _eur_rate(model: Model, group_by: list[str], filters: Filters) -> DataFrame:
-    scoped = _scoped(model, "fct_fx_daily", _usd_eur(model), group_by, filters)
+def _repeated(
+    model: Model, fact: str, group_by: list[str], filters: Filters, inactive: Inactive, build: Callable[[list[str]], DataFrame]
+) -> DataFrame:
+    """``build`` over the related groups, its values repeated for every value of the unrelated dimensions.
+
+    The distinct values of a dimension's grouping columns come as one scalar
+    that each row expands in place, so nothing is cross joined; a dimension is
+    small beside a fact.
+    """
+    related = _related(fact, inactive)
+    loose: dict[str, list[str]] = {}
+    for path in group_by:
+        table, _, column = path.rpartition(".")
+        if table and table not in related:
+            loose.setdefault(table, []).append(column)
+    out = build([g for g in group_by if g.rpartition(".")[0] not in loose])
+    for table, columns in loose.items():
+        dim = model[table]
+        for path, values in filters.items():
+            if path.rpartition(".")[0] == table:
+                dim = dim.filter(F.col(path.rpartition(".")[2]).isin(values))
+        each = dim.select(F.struct(*[F.col(c).alias(f"{table}_{c}") for c in columns]).alias("each")).distinct()
+        listed = each.agg(F.collect_list("each")).scalar()
+        out = out.withColumn("_each", F.explode(listed)).select("*", "_each.*").drop("_each")
+    return out
+
+
+def _eur_rate(model: Model, group_by: list[str], filters: Filters, inactive: Inactive) -> DataFrame:
+    scoped = _scoped(model, "fct_fx_daily", _usd_eur(model), group_by, filters, inactive)
     return scoped.groupBy(*_groups(group_by)).agg(F.avg("rate").alias("eur_rate"))
 
 
-def _revenue_eur(model: Model, group_by: list[str], filters: Filters) -> DataFrame:
+def _revenue_eur(model: Model, group_by: list[str], filters: Filters, inactive: Inactive) -> DataFrame:
     """Revenue of each date times that date's mean rate; dates without a rate drop out."""
     scoped = _scoped(model, "fct_taxi_daily", model["fct_taxi_daily"], group_by, filters)
     daily = scoped.groupBy("date_key", *_groups(group_by)).agg(F.sum("total_revenue_usd").alias("usd"))
-    rate = _usd_eur(model).groupBy("date_key").agg(F.avg("rate").alias("rate"))
+    currency = {path: values for path, values in filters.items() if path.startswith("dm_currency.")}
+    rate = _scoped(model, "fct_fx_daily", _usd_eur(model), [], currency, inactive).groupBy("date_key").agg(F.avg("rate").alias("rate"))
     eur = daily.join(rate, "date_key").groupBy(*_groups(group_by))
     return eur.agg(F.sum(F.col("usd") * F.col("rate")).alias("revenue_eur"))
 
 
 def measure(
-    names: str | list[str], model: Model, group_by: list[str] | None = None, filters: Filters | None = None
+    names: str | list[str],
+    model: Model,
+    group_by: list[str] | None = None,
+    filters: Filters | None = None,
+    inactive: Inactive = (),
 ) -> DataFrame:
     """One row per group with the named measures.
 
     Measures of one fact share an aggregation; the results of several facts
-    are united and folded by group.
+    are united and folded by group. A dimension that does not relate to a
+    fact repeats its value in each group. ``inactive`` names (fact, dimension)
+    pairs of ``INACTIVE`` to be used in place of the active relationship.
     """
     names = [names] if isinstance(names, str) else list(names)
     group_by, filters = group_by or [], filters or {}
@@ -163,14 +206,22 @@ def measure(
     parts, by_fact = [], {}
     for name in needed:
         if name == "eur_rate":
-            parts.append(_eur_rate(model, group_by, filters))
+            build = partial(_eur_rate, model, filters=filters, inactive=inactive)
+            parts.append(_repeated(model, "fct_fx_daily", group_by, filters, inactive, build))
         elif name == "revenue_eur":
-            parts.append(_revenue_eur(model, group_by, filters))
+            if any(g.startswith("dm_currency.") for g in group_by):
+                raise ValueError("revenue in euros has one currency")
+            build = partial(_revenue_eur, model, filters=filters, inactive=inactive)
+            parts.append(_repeated(model, "fct_taxi_daily", group_by, filters, inactive, build))
         else:
             by_fact.setdefault(BASE[name].fact, []).append(name)
     for fact, own in by_fact.items():
-        scoped = _scoped(model, fact, model[fact], group_by, filters)
-        parts.append(scoped.groupBy(*_groups(group_by)).agg(*[BASE[n].value().alias(n) for n in own]))
+
+        def build(groups: list[str], fact: str = fact, own: list[str] = own) -> DataFrame:
+            scoped = _scoped(model, fact, model[fact], groups, filters, inactive)
+            return scoped.groupBy(*_groups(groups)).agg(*[BASE[n].value().alias(n) for n in own])
+
+        parts.append(_repeated(model, fact, group_by, filters, inactive, build))
     out = parts[0]
     if len(parts) > 1:
         united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -51,28 +51,27 @@ def high_watermark(df: DataFrame, col: str = "loaded_at") -> datetime | None:
     return df.agg(F.max(col)).first()[0]
 
 
-def touched_rows(df: DataFrame, keys: list[str], col: str, low: object, high: object | None = None) -> DataFrame:
-    """All rows, old and new, of the keys that have a row in (low, high].
+def touched_groups(
+    df: DataFrame, build: Callable[[DataFrame], DataFrame], col: str, low: object, high: object | None = None
+) -> DataFrame:
+    """The groups of an aggregate that have a row in (low, high], each built from all its rows up to ``high``.
 
-    Rebuilding an aggregate from these replaces whole groups, so a late row
-    never overwrites a full total with a partial one. Null keys are a group
-    like any other. Rows newer than ``high`` wait for the next run.
+    ``build`` carries the newest ``col`` of each group, which decides: one
+    partially aggregated shuffle and no join. Whole groups are rebuilt, so a
+    late row never overwrites a full total with a partial one. Rows newer than
+    ``high`` wait for the next run.
     """
-    df = incremental(df, col, None, high)
-    new = incremental(df, col, low).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return df.join(new, same, "left_semi")
+    return incremental(build(incremental(df, col, None, high)), col, low).drop(col)
 
 
 def refresh_fact(
     fact: DataFrame,
     silver: DataFrame,
-    silver_keys: list[str],
-    fact_keys: list[str],
+    keys: list[str],
     build: Callable[[DataFrame], DataFrame],
     low: object,
     high: object | None = None,
     col: str = "loaded_at",
 ) -> DataFrame:
     """``fact`` with every group touched since ``low`` rebuilt in full."""
-    return upsert(fact, build(touched_rows(silver, silver_keys, col, low, high)), fact_keys, null_safe=True)
+    return upsert(fact, touched_groups(silver, build, col, low, high), keys, null_safe=True)

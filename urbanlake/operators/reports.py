@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from urbanlake.operators.joins import yearly_join
 from urbanlake.operators.measures import Model, measure
 
 
@@ -15,7 +14,7 @@ def overview(model: Model) -> DataFrame:
 
 def coverage_matrix(model: Model) -> DataFrame:
     """Sensor rows by zone and parameter; the columns are the parameters of the dimension, which is read for them."""
-    named = model["fct_air_quality"].join(model["dm_air_measurement"].select("p_id", "p_name"), "p_id")
+    named = model["fct_air_quality"].join(model["dm_air_measurement"].select("p_id", "p_name"), "p_id", "left")
     names = [r[0] for r in model["dm_air_measurement"].select("p_name").where("p_name is not null").distinct().orderBy("p_name").collect()]
     return named.groupBy("zone_id").pivot("p_name", names).agg(F.sum("sensor_count"))
 
@@ -46,11 +45,7 @@ def revenue_fx(model: Model) -> DataFrame:
 
 def long_term(model: Model) -> DataFrame:
     """Trips, mean pollution and GDP per year that has any of them."""
-    parts = [measure(n, model, ["dm_date.year"]) for n in ("trips", "avg_pollution", "gdp_usd")]
-    years = parts[0].select("dm_date_year")
-    for part in parts[1:]:
-        years = years.union(part.select("dm_date_year"))
-    return yearly_join(years.distinct(), *parts, on="dm_date_year")
+    return measure(["trips", "avg_pollution", "gdp_usd"], model, ["dm_date.year"])
 
 
 def correlation(model: Model, by: str = "zone_id") -> DataFrame:

@@ -10,7 +10,7 @@ from urbanlake.operators.merge import dedupe_latest
 MAX_CELLS_PER_SIDE = 1024
 BROADCAST_BYTES = 64 << 20
 EDGE_BYTES = 48
-ROW_BYTES = 1024
+ROW_BYTES = 128
 
 
 def polygon_edges(wkt: Column) -> Column:
@@ -84,7 +84,7 @@ def within_join(
     )
     width, height = F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")
     side = F.greatest(width, height)
-    mean, longest, count, edges, wide, high, area = box.agg(
+    mean, longest, count, edges, wide, high, area, attached = box.agg(
         F.avg(side),
         F.max(side),
         F.count("*"),
@@ -92,6 +92,7 @@ def within_join(
         F.sum(width),
         F.sum(height),
         F.sum(width * height),
+        F.coalesce(F.max(F.octet_length(F.to_json(F.struct(*attributes)))), F.lit(0)),
     ).first()
     cell = cell_deg or max(mean or 0.0, (longest or 0.0) / MAX_CELLS_PER_SIDE, 1e-9)
 
@@ -102,12 +103,15 @@ def within_join(
         return F.explode(F.sequence(index(F.col(low)), index(F.col(high))))
 
     cells = box.withColumn("_cx", span("_x0", "_x1")).withColumn("_cy", span("_y0", "_y1"))
-    # Upper bound: a box of w by h meets at most (w + 2)(h + 2) cells; every entry has the most edges.
+    # Upper bound: a box of w by h meets at most (w + 2)(h + 2) cells; every entry has the most edges and the widest attributes.
     entries = (area or 0.0) / cell**2 + 2 * ((wide or 0.0) + (high or 0.0)) / cell + 4 * count
-    small = entries * (edges * EDGE_BYTES + ROW_BYTES) <= broadcast_bytes
+    small = entries * (edges * EDGE_BYTES + attached + ROW_BYTES) <= broadcast_bytes
     cells = F.broadcast(cells) if small else cells.hint("merge")
-    located = points.withColumns({"_px": index(F.col(lon)), "_py": index(F.col(lat))})
     x, y = F.col(lon), F.col(lat)
+    # Points without coordinates are dealt to cells that no zone has, so that they do not all meet in one task.
+    nowhere = -F.lit(1 << 60) + F.pmod(F.xxhash64(*points.columns), F.lit(4096))
+    located = points.withColumns({"_px": F.coalesce(index(x), nowhere), "_py": index(y)})
+    located = located.withColumn("_py", F.coalesce("_py", nowhere))
     same = (
         (F.col("_px") == F.col("_cx"))
         & (F.col("_py") == F.col("_cy"))

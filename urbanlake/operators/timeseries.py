@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from urbanlake.operators.merge import dedupe_latest, upsert
+from urbanlake.operators.merge import upsert
 
 
 def date_bounds(df: DataFrame, date_col: str) -> DataFrame:
@@ -78,12 +78,13 @@ def fill_increment(silver: DataFrame, batch: DataFrame, keys: list[str], date_co
 
     Only days from the batch's first date on can change, and days after the
     end of ``silver``. Each key is seeded with its last observation before
-    them, so the gap between two loads is filled as well.
+    them, which the filled row of the day before carries; older rows are not read.
     """
-    first_new = batch.agg(F.min(date_col)).scalar()
-    start = F.least(first_new, silver.agg(F.date_add(F.max(date_col), 1)).scalar())
-    observed = upsert(silver.filter(~F.col("is_filled")).drop("is_filled"), batch, [*keys, date_col])
-    seed = dedupe_latest(observed.filter(F.col(date_col) < start), keys, [date_col])
-    recent = observed.filter(F.col(date_col) >= start)
-    until = observed.agg(F.max(date_col)).scalar()
+    first_new, last_new = batch.agg(F.min(date_col)).scalar(), batch.agg(F.max(date_col)).scalar()
+    last_old = silver.agg(F.max(date_col)).scalar()
+    start = F.least(first_new, F.date_add(last_old, 1))
+    seed = silver.filter(F.col(date_col) == F.date_sub(start, 1)).drop("is_filled")
+    later = silver.filter((F.col(date_col) >= start) & ~F.col("is_filled")).drop("is_filled")
+    recent = upsert(later, batch, [*keys, date_col])
+    until = F.greatest(last_old, last_new)
     return fill_gaps(seed.unionByName(recent), keys, date_col, until).filter(F.col(date_col) >= start)

@@ -8,7 +8,7 @@ counts are observed on the write itself, so no frame is computed twice.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 from functools import partial
 from typing import NamedTuple
 
@@ -19,15 +19,20 @@ from urbanlake.operators import export, facts, merge, quality, timeseries
 from urbanlake.operators.clean import (
     POLLUTANTS,
     TRIP_TYPES,
+    Rule,
     active_in,
+    daily_rules,
     filter_in_set,
+    hourly_rules,
     incremental,
     normalize_schema,
+    split_rejects,
+    trip_rules,
     union_drift,
 )
 from urbanlake.operators.joins import semi_filter, weather_join
 from urbanlake.operators.spatial import sensor_zones
-from urbanlake.session import stage
+from urbanlake.session import stage, unstage
 from urbanlake.sources import documents, files, tables
 
 START = datetime(1900, 1, 1)
@@ -46,12 +51,19 @@ def _written(df: DataFrame, write: Callable[[DataFrame], None], col: str = "load
 
 
 def load_trip_months(
-    spark: SparkSession, root: str, target: str, keys: list[str], source: str, load_ts: datetime
+    spark: SparkSession,
+    root: str,
+    target: str,
+    keys: list[str],
+    source: str,
+    load_ts: datetime,
+    rejects: str | None = None,
 ) -> tuple[DataFrame, list[tuple[str, str]]]:
     """Clean the month files ``keys`` into the trip table, replacing those months.
 
     A month that cannot be read is reported and skipped. Returns results for
-    the ledger (rows per month) and the failed (key, message) pairs.
+    the ledger (rows per month) and the failed (key, message) pairs. Rejected
+    rows of these months replace those in the table ``rejects``, if it is given.
     """
     good, failed, read = [], [], []
     for key in keys:
@@ -65,7 +77,16 @@ def load_trip_months(
             failed.append((key, str(error)))
     counts = spark.createDataFrame([], "source_name string, partition_key string, rows_written bigint")
     if good:
-        staged = stage(facts.silver_trips(union_drift(good), source, load_ts), "trips")
+        raw = union_drift(good)
+        staged = stage(facts.silver_trips(raw, source, load_ts), "trips")
+        if rejects:
+            bad = split_rejects(raw, trip_rules())[1]
+            bad = stage(bad.withColumns({"loaded_at": F.lit(load_ts), "source_system": F.lit(source)}), "trip-rejects")
+            tables.overwrite_partitions(bad, rejects, ["year", "month"], clustered=True)
+            full = {(r.year, r.month) for r in bad.select("year", "month").distinct().collect()}
+            months = [tuple(map(int, key.split("-"))) for key in read]
+            tables.clear_partitions(spark, rejects, ["year", "month"], [m for m in months if m not in full])
+            unstage(bad)
         tables.overwrite_partitions(staged, target, ["year", "month"], clustered=True)
         # At most one row per month asked for. A month without passing rows succeeded with none and holds none.
         written = {(r.year, r.month): r["count"] for r in staged.groupBy("year", "month").count().collect()}
@@ -171,30 +192,49 @@ def _merge_new(
     build: Callable[[DataFrame], DataFrame],
     keys: list[str],
     partition_by: list[str],
+    rules: list[Rule] | None = None,
+    rejects: str | None = None,
 ) -> Result:
-    """Merge the rows above the watermark; the new mark is the newest load time read."""
+    """Merge the rows above the watermark; the new mark is the newest load time read.
+
+    Rows that break a rule are appended to the table ``rejects``, if it is
+    given, with their reasons and source columns.
+    """
     low = watermark or START
-    new = incremental(tables.read(spark, source), "loaded_at", low)
+    # Loads may have brought new columns.
+    new = incremental(tables.read(spark, source, merge_schema=True), "loaded_at", low)
     newest = merge.high_watermark(new)
     if newest is None:
         return Result(0, low)
     # A fixed upper bound keeps rows that land during the run for the next one.
-    batch = build(incremental(new, "loaded_at", None, newest))
+    new = incremental(new, "loaded_at", None, newest)
+    batch = build(new)
+    if rejects:
+        tables.append(split_rejects(new, rules or [])[1], rejects)
     result = _written(batch, lambda df: tables.upsert_table(df, target, keys, partition_by))
     return Result(result.rows, newest)
 
 
 def merge_daily(
-    spark: SparkSession, source: str, target: str, watermark: datetime | None, null_coverage: str = "drop"
+    spark: SparkSession,
+    source: str,
+    target: str,
+    watermark: datetime | None,
+    null_coverage: str = "drop",
+    rejects: str | None = None,
 ) -> Result:
     keys = ["sensor_id", "measurement_date", "parameter"]
     build = partial(facts.silver_daily, null_coverage=null_coverage)
-    return _merge_new(spark, source, target, watermark, build, keys, ["year", "month"])
+    rules = daily_rules(null_coverage)
+    return _merge_new(spark, source, target, watermark, build, keys, ["year", "month"], rules, rejects)
 
 
-def merge_hourly(spark: SparkSession, source: str, target: str, watermark: datetime | None) -> Result:
+def merge_hourly(
+    spark: SparkSession, source: str, target: str, watermark: datetime | None, rejects: str | None = None
+) -> Result:
     keys = ["sensor_id", "measurement_date", "hour_utc", "parameter"]
-    return _merge_new(spark, source, target, watermark, facts.silver_hourly, keys, ["year", "month"])
+    build, rules = facts.silver_hourly, hourly_rules()
+    return _merge_new(spark, source, target, watermark, build, keys, ["year", "month"], rules, rejects)
 
 
 def merge_gdp(spark: SparkSession, source: str, target: str, watermark: datetime | None) -> Result:
@@ -234,9 +274,8 @@ def refresh_trips(
 ) -> Result:
     """Rebuild the trip groups touched since the watermark and merge them into the fact."""
     keys = ["date_key", "pickup_zone_id", "payment_id", *(["hour"] if grain == "hour" else [])]
-    touched = ["trip_date", "pulocationid", "payment_type", *(["hour_of_day"] if grain == "hour" else [])]
-    build = partial(facts.taxi_fact, grain=grain)
-    return _refresh(spark, tables.read(spark, silver), target, watermark, "trip_date", touched, keys, build)
+    build = partial(facts.taxi_fact, grain=grain, newest="loaded_at")
+    return _refresh(spark, tables.read(spark, silver), target, watermark, "trip_date", keys, build)
 
 
 def refresh_air(
@@ -249,10 +288,9 @@ def refresh_air(
     grain: str = "day",
 ) -> Result:
     keys = ["date_key", "zone_id", "parameter", *(["hour"] if grain == "hour" else [])]
-    touched = ["measurement_date", "zone_id", "parameter", *(["hour_utc"] if grain == "hour" else [])]
     readings = facts.zoned_readings(tables.read(spark, silver), tables.read(spark, zones).select("sensor_id", "zone_id"))
-    build = partial(facts.air_fact_of, params=params, grain=grain, named=True)
-    return _refresh(spark, readings, target, watermark, "measurement_date", touched, keys, build)
+    build = partial(facts.air_fact_of, params=params, grain=grain, named=True, newest="loaded_at")
+    return _refresh(spark, readings, target, watermark, "measurement_date", keys, build, foldered=True)
 
 
 def _refresh(
@@ -261,18 +299,19 @@ def _refresh(
     target: str,
     watermark: datetime | None,
     day: str,
-    touched: list[str],
     keys: list[str],
     build: Callable[[DataFrame], DataFrame],
+    foldered: bool = False,
 ) -> Result:
+    """``foldered`` says that the ``year`` and ``month`` folders of ``silver`` follow from ``day``."""
     low = watermark or START
     new = incremental(silver, "loaded_at", low)
-    newest, first, last = new.agg(F.max("loaded_at"), F.min(day), F.max(day)).first()
+    # One row, whose list the calendar bounds.
+    newest, months = new.agg(F.max("loaded_at"), F.collect_set(F.trunc(day, "month"))).first()
     if newest is None:
         return Result(0, low)
-    # Literal date bounds prune files and row groups; the groups are whole inside them.
-    span = files.between_dates(silver, day, F.lit(first), F.lit(last))
-    fact = build(merge.touched_rows(span, touched, "loaded_at", low, newest))
+    span = silver.filter(touched_months(day, months, foldered))
+    fact = merge.touched_groups(span, build, "loaded_at", low, newest)
     fact = fact.withColumn("month_key", _month_of(F.col("date_key")))
     seen = Observation()
     tables.upsert_table(
@@ -281,6 +320,30 @@ def _refresh(
     return Result(seen.get["rows"], newest)
 
 
+def touched_months(day: str, months: list[date], foldered: bool = False) -> Column:
+    """Literal predicate for the days of ``months``, one range per run of adjacent months.
+
+    Ranges prune row groups, and folders too where these follow from the day;
+    the groups are whole inside them. A late row from years ago rereads its own
+    month, not all months since.
+    """
+    runs: list[list[int]] = []
+    for n in sorted(m.year * 12 + m.month - 1 for m in months):
+        if runs and n == runs[-1][1]:
+            runs[-1][1] = n + 1
+        else:
+            runs.append([n, n + 1])
+    ranges = [
+        (F.col(day) >= F.lit(date(a // 12, a % 12 + 1, 1))) & (F.col(day) < F.lit(date(b // 12, b % 12 + 1, 1)))
+        for a, b in runs
+    ] or [F.lit(False)]
+    while len(ranges) > 1:
+        ranges = [a | b for a, b in zip(ranges[::2], ranges[1::2])] + ranges[len(ranges) // 2 * 2 :]
+    if not foldered:
+        return ranges[0]
+    return ranges[0] & tables.any_of(["year", "month"], [(m.year, m.month) for m in months])
+
+
 def _month_of(date_key: Column) -> Column:
     return F.floor(date_key / 100).cast("int")
 

@@ -60,11 +60,11 @@ def agg_air_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(fact, {"avg_value": 6})
 
 
-def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings as archive rows: one sensor per location, times as text with an offset."""
+def _archive(spark: SparkSession, sf_dir: str, sensor: str = "location_id") -> DataFrame:
+    """Readings as archive rows: by default one sensor per location, times as text with an offset."""
     local = F.col("ts_utc") + F.expr("interval 9 hours")
     return b.readings_raw(spark, sf_dir).select(
-        F.col("location_id").alias("sensors_id"),
+        F.col(sensor).alias("sensors_id"),
         "location_id",
         "parameter",
         "units",
@@ -86,7 +86,7 @@ def agg_raw_to_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_raw_to_day",
-    """SELECT location_id AS sensor_id, location_id, parameter, units, date_utc, CAST(round(CAST(avg(nullif(value, 0)) AS DECIMAL(38,8)), 6) AS DOUBLE) AS value,
+    """SELECT sensor_id, location_id, parameter, units, date_utc, CAST(round(CAST(avg(nullif(value, 0)) AS DECIMAL(38,8)), 6) AS DOUBLE) AS value,
       CAST(round(CAST(min(nullif(value, 0)) AS DECIMAL(38,4)), 2) AS DOUBLE) AS min_val, CAST(round(CAST(max(nullif(value, 0)) AS DECIMAL(38,4)), 2) AS DOUBLE) AS max_val,
       CAST(round(CAST(quantile_disc(nullif(value, 0), 0.5) AS DECIMAL(38,4)), 2) AS DOUBLE) AS median_val, CAST(NULL AS DOUBLE) AS coverage_pct,
       CAST(count(nullif(value, 0)) AS INTEGER) AS expected_count
@@ -94,7 +94,7 @@ def agg_raw_to_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     b.READINGS_RAW,
 )
 def agg_raw_to_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = facts.rollup_readings(_archive(spark, sf_dir), "day")
+    day = facts.rollup_readings(_archive(spark, sf_dir, "sensor_id"), "day")
     return _rounded(day, {"value": 6, "min_val": 2, "max_val": 2, "median_val": 2})
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from urbanlake.operators import clean, dims, facts, joins, spatial, timeseries
@@ -222,8 +224,8 @@ def incremental_fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = stage(b.trips(spark, sf_dir), "silver-trips")
     noon = "2002-01-01 12:00:00"
     old = facts.taxi_fact(clean.incremental(trips, "loaded_at", None, noon))
-    keys = ["trip_date", "pulocationid", "payment_type"]
-    new = refresh_fact(old, trips, keys, ["date_key", "pickup_zone_id", "payment_id"], facts.taxi_fact, noon)
+    build = partial(facts.taxi_fact, newest="loaded_at")
+    new = refresh_fact(old, trips, ["date_key", "pickup_zone_id", "payment_id"], build, noon)
     return new.select(
         "date_key", "pickup_zone_id", "payment_id", "trip_count", b.near("total_revenue_usd", 2).alias("total_revenue_usd")
     )

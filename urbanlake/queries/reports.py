@@ -98,6 +98,39 @@ def m_revenue_eur_div(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cast(out, {"revenue_eur_div": 4})
 
 
+@query(
+    "m_eur_rate_by_currency",
+    "SELECT 'USD' AS dm_currency_currency_name, CAST(round(CAST(avg(CAST(rate AS DOUBLE)) AS DECIMAL(38,8)), 6) AS DOUBLE) AS eur_rate "
+    "FROM fct_fx_daily WHERE id_cur_from = 1 AND id_cur_to = 2 HAVING count(*) > 0 UNION ALL "
+    "SELECT 'to EUR', CAST(round(CAST(avg(CAST(rate AS DOUBLE)) AS DECIMAL(38,8)), 6) AS DOUBLE) "
+    "FROM fct_fx_daily WHERE id_cur_from = 1 AND id_cur_to = 2 HAVING count(*) > 0",
+    *b.FX_CTES,
+)
+def m_eur_rate_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the currency it comes from, then by the one it goes to."""
+    model, by = b.model(spark, sf_dir), ["dm_currency.currency_name"]
+    name = F.concat(F.lit("to "), "dm_currency_currency_name").alias("dm_currency_currency_name")
+    target = measure("eur_rate", model, by, inactive=[("fct_fx_daily", "dm_currency")]).select(name, "eur_rate")
+    return _cast(measure("eur_rate", model, by).unionByName(target), {"eur_rate": 6})
+
+
+@query(
+    "m_revenue_eur_div_by_zone",
+    """SELECT coalesce(z.zone_id, r.pickup_zone_id) AS dm_zone_zone_id,
+      CASE WHEN z.zone_id IS NOT NULL THEN CAST(round(CAST(usd / (SELECT avg(CAST(rate AS DOUBLE)) FROM fct_fx_daily
+        WHERE id_cur_from = 1 AND id_cur_to = 2) AS DECIMAL(38,6)), 4) AS DOUBLE) END AS revenue_eur_div
+    FROM zones z FULL JOIN (SELECT pickup_zone_id, sum(total_revenue_usd) AS usd FROM fct_taxi_daily GROUP BY 1) r
+      ON z.zone_id = r.pickup_zone_id""",
+    *b.TAXI_CTES,
+    *b.FX_CTES,
+    b.ZONES,
+)
+def m_revenue_eur_div_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates do not relate to zones, so each zone divides by the same mean rate."""
+    out = measure("revenue_eur_div", b.model(spark, sf_dir), ["dm_zone.zone_id"])
+    return _cast(out, {"revenue_eur_div": 4})
+
+
 @query(
     "m_zones_with_sensors",
     """SELECT CAST(p_id AS INTEGER) AS dm_air_measurement_p_id, count(DISTINCT zone_id) AS zones_with_sensors

@@ -46,7 +46,20 @@ def _save(writer: DataFrameWriter, target: str) -> None:
 
 
 def append(df: DataFrame, target: str, partition_by: list[str] | None = None) -> None:
-    """Append; new columns are seen by readers that merge schemas."""
+    """Append; a catalog table gains new columns, and readers that merge schemas see those of a path."""
+    if partition_by:
+        df = spread(df, partition_by)
+    spark = df.sparkSession
+    if not _is_path(target) and exists(spark, target):
+        known = {c.lower() for c in spark.table(target).columns}
+        added = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name.lower() not in known]
+        if added:
+            spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({', '.join(added)})")
+        table = spark.table(target)
+        given = {c.lower(): c for c in df.columns}
+        columns = [F.col(f"`{given[c.lower()]}`") if c.lower() in given else F.lit(None).alias(c) for c in table.columns]
+        df.select(*columns).write.insertInto(target)
+        return
     _save(df.write.mode("append").partitionBy(*(partition_by or [])), target)
 
 
