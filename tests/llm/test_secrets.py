@@ -45,6 +45,17 @@ def test_spans(spark, odd_texts):
     assert key in extra and not any("schiff" in w for w in extra)
 
 
+def test_tokens_of_fewer_than_two_symbols(spark):
+    random.seed(4)
+    key = "".join(random.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=44))
+    lines = ["=" * 24, "a" + "=" * 24, "7" + "=" * 24, "=" * 24 + "b", "ab" + "=" * 24, "-" * 24]
+    rows = [(i, f"Heading\n{line}\ntext") for i, line in enumerate(lines)] + [(50, f"Heading\n{'=' * 24}\nkey {key} end")]
+    got = {r.doc_id: [s.word for s in r.spans] for r in secrets.find(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: [] for i in range(len(lines))} | {50: [key]}
+    few = secrets.battery(spark.createDataFrame([(w,) for w in lines[:4]], "word string")).collect()
+    assert len(few) == 4 and all((r.p_random, r.p_text) == (1.0, 1.0) for r in few)
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     check(secrets.find(docs).join(docs, "doc_id").collect())

@@ -9,6 +9,8 @@ uniform random string of its length ``n`` over that alphabet:
 - runs above and below the middle of the alphabet (mean ``(n + 1) / 2``, variance ``(n - 1) / 4``), two-sided;
 - lag-one serial correlation of the symbols (mean ``-1 / n``, variance ``1 / n``), two-sided.
 
+A token of fewer than two symbols, as a row of ``=``, has nothing to test: both its p are 1, so it is no secret.
+
 Fisher's method combines them; a token at which randomness is rejected is no secret. What remains must also be a discovery
 against ordinary text: its coincidence index is held against that of text (``TEXT_COINCIDENCE``), with a deviation that
 shrinks with the length, and Benjamini-Hochberg picks the discoveries among the tokens of a length band at rate ``rate``.
@@ -118,14 +120,17 @@ def battery(tokens: DataFrame, word: str = "word") -> DataFrame:
     plain = F.translate(F.regexp_replace(w, "=+$", ""), "-_", "+/")
     plain = F.when(F.col("encoding").isin("hex", "base36"), F.lower(plain)).otherwise(plain)
     df = df.withColumn("_plain", plain).withColumn("_alphabet", alphabet).withColumn("_m", m)
-    df = df.withColumn("_index", F.transform(F.split("_plain", ""), lambda c: F.instr(F.col("_alphabet"), c).cast("double") - 1))
+    df = df.withColumn("_index", F.transform(F.filter(F.split("_plain", ""), lambda c: c != ""), lambda c: F.instr(F.col("_alphabet"), c).cast("double") - 1))
     df = stage(df.withColumn("_index", F.filter("_index", lambda x: x >= 0)).withColumn("_n", F.size("_index").cast("double")), "secrets-index")
     counts = F.transform(F.array_distinct("_index"), lambda s: F.size(F.filter(F.col("_index"), lambda x: x == s)).cast("double"))
     df = df.withColumn("_squares", F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c))
-    n, m = F.col("_n"), F.col("_m")
+    # Null below two symbols: null divisors give null, where zeros would end the query.
+    tested = F.col("_n") >= 2
+    n, m = F.when(tested, F.col("_n")), F.col("_m")
     chi = m / n * F.col("_squares") - n
     df = df.withColumn("_z_chi", (chi - (m - 1)) / F.sqrt(2 * (m - 1) * (1 - 1 / n)))
-    pairs = F.zip_with(F.slice("_index", 1, F.size("_index") - 1), F.slice("_index", 2, F.size("_index") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    steps = F.greatest(F.lit(0), F.size("_index") - 1)
+    pairs = F.zip_with(F.slice("_index", 1, steps), F.slice("_index", 2, steps), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     df = df.withColumn("_pairs", pairs).withColumn("_mean", F.aggregate("_index", F.lit(0.0), lambda a, x: a + x) / n)
     runs = F.size(F.filter("_pairs", lambda p: (p["a"] * 2 < m) != (p["b"] * 2 < m))) + 1
     df = df.withColumn("_z_runs", (runs - (n + 1) / 2) / F.sqrt((n - 1) / 4))
@@ -138,11 +143,12 @@ def battery(tokens: DataFrame, word: str = "word") -> DataFrame:
     floor = F.lit(1e-30)
     p = [F.greatest(floor, _tail(F.least(F.lit(20.0), F.col("_z_chi")))), *(F.greatest(floor, F.least(F.lit(1.0), 2 * _tail(F.least(F.lit(20.0), F.abs(F.col(c)))))) for c in ("_z_runs", "_z_serial"))]
     x = -(F.log(p[0]) + F.log(p[1]) + F.log(p[2]))
-    df = df.withColumn("_x", x).withColumn("p_random", F.exp(-F.col("_x")) * (1 + F.col("_x") + F.col("_x") * F.col("_x") / 2))
+    df = df.withColumn("_x", x).withColumn("p_random", F.when(tested, F.exp(-F.col("_x")) * (1 + F.col("_x") + F.col("_x") * F.col("_x") / 2)).otherwise(1.0))
     text = F.greatest(F.lit(TEXT_COINCIDENCE), 2 / m)
     coincidence = (F.col("_squares") - n) / (n * (n - 1))
     z = (text - coincidence) / F.sqrt(2 * text * (1 - text) / (n * (n - 1)))
-    return df.withColumn("p_text", F.greatest(F.lit(1e-40), _tail(F.greatest(F.lit(-20.0), F.least(F.lit(20.0), z))))).drop(*[c for c in df.columns if c.startswith("_")], "_x")
+    p_text = F.greatest(F.lit(1e-40), _tail(F.greatest(F.lit(-20.0), F.least(F.lit(20.0), z))))
+    return df.withColumn("p_text", F.when(tested, p_text).otherwise(1.0)).drop(*[c for c in df.columns if c.startswith("_")], "_x")
 
 
 def discoveries(tokens: DataFrame, rate: float = 0.01, random_level: float = 0.001) -> DataFrame:
