@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from urbanlake.llm import suffixes
@@ -63,6 +65,36 @@ def test_long_texts_in_segments(spark, monkeypatch):
     assert sum(int((p[3] - p[2] + 1).sum()) for p in parts) == len(data) - 23
 
 
+@pytest.fixture
+def small_segments(monkeypatch):
+    """Segments and steps of 64 bytes, in the tasks too: the patched modules are sent to them by value."""
+    monkeypatch.setattr(suffixes, "SEGMENT", 64)
+    monkeypatch.setattr(suffixes.V.steps, "__defaults__", (64,))
+    for module in (suffixes, suffixes.V):
+        cloudpickle.register_pickle_by_value(module)
+    yield
+    for module in (suffixes, suffixes.V):
+        cloudpickle.unregister_pickle_by_value(module)
+
+
+def test_repeats_at_the_edges_of_segments(spark, small_segments):
+    # Each repeat starts at another distance before an edge; its other occurrence is a short text of its own.
+    random.seed(7)
+    texts = ["".join(random.choices("abcdefgh", k=900)) for _ in range(20)]
+    others = [t[64 * (1 + i % 12) - i :][: 24 + i % 5] for i, t in enumerate(texts)]
+    check(spark, texts + others)
+    check(spark, texts + others, hot=1)
+    check(spark, ["".join(made(4)), *made(4), "ab" * 200])
+
+
+def test_repeat_at_the_edge_of_a_real_segment(spark):
+    text = "".join(random.Random(8).choices("abcdefghijklmnop", k=2 * suffixes.SEGMENT + 5000))
+    cuts = [(suffixes.SEGMENT - 150, suffixes.SEGMENT + 199), (2 * suffixes.SEGMENT - 1, 2 * suffixes.SEGMENT + 199)]
+    df = spark.createDataFrame([(0, text)] + [(i, text[a:b]) for i, (a, b) in enumerate(cuts, 1)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes - r.n_removed, list(zip(r.span_starts, r.span_ends))) for r in suffixes.remove(df, content=False).collect()}
+    assert got == {0: (len(text) - sum(b - a for a, b in cuts), cuts)} | {i: (0, [(0, b - a)]) for i, (a, b) in enumerate(cuts, 1)}
+
+
 def test_repeated_rows(spark):
     text = "".join(random.Random(5).choices("abcdef", k=120))
     df = spark.createDataFrame([(1, text), (1, text), (2, text[:20]), (None, "tail"), (None, None)], "doc_id long, text string")

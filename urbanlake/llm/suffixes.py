@@ -239,11 +239,15 @@ def _short(batch: pa.RecordBatch, hits: np.ndarray, window: int, k: int, count:
         return []
     row = np.repeat(np.arange(len(ids)), times)
     hit = hits[np.concatenate([np.arange(a, b) for a, b in zip(low, high) if b > a])]
-    # A row that occurs twice has each of its anchors twice; each row takes each place once.
-    _, once = np.unique(np.stack([row, hit["pos"].astype(np.int64)]), axis=1, return_index=True)
+    # A row that occurs twice has each of its anchors twice, and an anchor at the edge of two segments has its windows in
+    # two records, which adjoin; each row takes each place once, with all its windows.
+    order = np.lexsort((hit["pos"], row))
+    row, hit = row[order], hit[order]
+    once = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (hit["pos"][1:] != hit["pos"][:-1])]))
+    lo = np.maximum.reduceat(hit["lo"].astype(np.int64), once)
+    hi = np.maximum.reduceat(-hit["hi"].astype(np.int16).astype(np.int64), once)
     row, hit = row[once], hit[once]
     at = offsets[row] + hit["pos"]
-    lo, hi = hit["lo"].astype(np.int64), -hit["hi"].astype(np.int16).astype(np.int64)
     hashes = V.Rolling(data)
     anchor = hashes.of(at, at + k)
     is_hot = hit["hot"] > 0
