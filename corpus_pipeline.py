@@ -1,8 +1,8 @@
 """The corpus pipeline: from ``documents`` to packed training sequences.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a frame that is written as Parquet and read again as the next one's
-``docs``. All but the last return the columns of ``documents``. ``doc_id`` names a document: of rows that share an id, one
-may stand for all from the second stage on. Null texts count as empty, and an empty table passes through every stage.
+``docs``. All but the last return the columns of ``documents``. Rows that share an id, or have none, are documents of their
+own in every stage. Null texts count as empty, and an empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlake.llm import mixing, ngram_join, packing, secrets, toxicity
+from urbanlake.llm.common import WORD, text_of
 from urbanlake.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -27,11 +28,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near duplicates: five words and a similarity of 0.8."""
-    groups = ngram_join.join(docs.select("doc_id", "text"), n=5, percent=80)
-    firsts = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).alias("d").join(firsts.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One row of each component of near duplicates (five words, a similarity of 0.8): that with the smallest id.
+
+    A null id counts as larger than all, and ties go by a hash of the text. Texts without words are in no component and
+    all stay.
+    """
+    docs = docs.select(*COLUMNS)
+    worded = text_of().rlike(WORD)
+    # Rows of the same id and text are copies; a 64-bit hash of both stands for them, and for the component as well.
+    keyed = docs.where(worded).withColumn("_key", F.xxhash64("doc_id", "text"))
+    groups = ngram_join.join(keyed.select("_key", "text"), n=5, percent=80, key="_key").select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("first")
+    firsts = keyed.select("_key", "doc_id").distinct().join(groups, "_key").groupBy("component_id").agg(first).select(F.col("first._key").alias("_key"))
+    kept = keyed.dropDuplicates(["_key"]).join(firsts, "_key", "left_semi")
+    return kept.select(*COLUMNS).union(docs.where(~worded))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +55,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The budget reads the largest source once and the others up to ``MAX_REPETITION`` times, so none loses a document.
     """
-    narrow = stage(docs.select("doc_id", "source", mixing.word_count().alias("n_tokens")), "mix-tokens")
-    read = mixing.mix(narrow, max_repetition=MAX_REPETITION).groupBy("doc_id").agg(F.count("*").alias("_times"))
-    times = F.sequence(F.lit(1), F.coalesce(F.col("_times"), F.lit(1)).cast("int"))
-    joined = docs.select(*COLUMNS).alias("d").join(read.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")), "left")
-    return joined.select(*(F.col(f"d.{c}").alias(c) for c in COLUMNS), F.explode(times).alias("_time")).select(*COLUMNS)
+    # Rows that are equal in all columns stand for each other, so their readings are counted together.
+    keyed = docs.select(*COLUMNS, F.xxhash64(*COLUMNS, *(F.col(c).isNull() for c in COLUMNS)).alias("_key"))
+    narrow = stage(keyed.select("_key", "source", mixing.word_count().alias("n_tokens")), "mix-tokens")
+    read = mixing.mix(narrow, max_repetition=MAX_REPETITION, key="_key").groupBy("_key").agg(F.count("*").alias("_times"))
+    rows = keyed.groupBy("_key").agg(*(F.first(c).alias(c) for c in COLUMNS), F.count("*").alias("_rows"))
+    times = F.sequence(F.lit(1), F.greatest("_times", "_rows").cast("int"))
+    return rows.join(read, "_key", "left").select(*COLUMNS, F.explode(times).alias("_time")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
