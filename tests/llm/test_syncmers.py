@@ -48,6 +48,20 @@ def test_likeness():
     assert sy.likeness(none, none) == 1 and sy.likeness(none, own) == 0
 
 
+def test_fingerprints_grow_with_the_text():
+    random.seed(5)
+    made = lambda n: "".join(random.choices("abcdefghijk ", k=n))
+    passage, text = made(600), made(120000)
+    others = [passage.join([made(60000), made(60000)]) for _ in range(2)]
+    ((_, hashes),) = sy.closed_syncmers([text])
+    every = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+    own, a, b = (sy.fingerprint(*sy.closed_syncmers([t])[0]) for t in (text, *others))
+    assert len(own) > 10 * sy.SKETCH and own["hash"].tolist() == every[every < sy.LIMIT].tolist()
+    assert 0.001 < sy.likeness(a, b) < 0.01 and sy.likeness(a, a) == 1
+    half = sy.fingerprint(*sy.closed_syncmers([text[:60000] + made(60000)])[0])
+    assert abs(sy.likeness(own, half) - 1 / 3) < 0.04
+
+
 def test_next(spark):
     rows = [(i * 7 % 101, f"t{i}") for i in range(101)] + [(None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")

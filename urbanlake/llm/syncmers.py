@@ -4,9 +4,10 @@ A k-mer (``K`` code points) is a closed syncmer if, of its substrings of ``S`` c
 first or the last. Whether it is chosen depends on the k-mer alone, never on its surroundings, so a passage has the same
 anchors wherever it stands, and an edit changes only the anchors that touch it.
 
-The anchors of a document are all its closed syncmers with their places. The fingerprint keeps the ``SKETCH`` anchors with
-the least hash, the leftmost of equal ones: anchors are chosen over the whole text, and two fingerprints estimate the share
-of common anchors as bottom sketches do. Texts without a closed syncmer, as those shorter than a k-mer,
+The anchors of a document are all its closed syncmers with their places. The fingerprint keeps the anchors whose hash is below
+``LIMIT``, one in ``SHARE``, and at least the ``SKETCH`` anchors with the least hash, the leftmost of equal ones: it grows with
+the text, anchors are chosen over the whole text, and two fingerprints estimate the share of common anchors from all hashes
+up to which both are complete. Texts without a closed syncmer, as those shorter than a k-mer,
 have one anchor, the whole text. The likeness of two
 fingerprints is that share, counted over anchors that match in place: their shift must be within ``SLACK`` of the shift
 that most of them have, so that chance matches at scattered places do not count.
@@ -28,6 +29,8 @@ from urbanlake.llm.common import partitions, query, table
 
 K, S = 16, 6
 SKETCH = 128
+SHARE = 8
+LIMIT = (1 << 32) // SHARE
 SLACK = 64
 FACTOR = np.uint64(0x100000001B3)
 
@@ -76,18 +79,28 @@ PRINT = np.dtype([("hash", "<u4"), ("place", "<u4")])
 
 
 def fingerprint(place: np.ndarray, hashes: np.ndarray, size: int = SKETCH) -> np.ndarray:
-    """The anchors with the least hash, each hash once at its leftmost place, by hash."""
+    """The anchors below ``LIMIT``, or the ``size`` ones with the least hash if these are more; each hash once at its leftmost
+    place, by hash."""
     found, first = np.unique((hashes >> np.uint64(32)).astype(np.uint32), return_index=True)
-    out = np.zeros(min(size, len(found)), PRINT)
-    out["hash"], out["place"] = found[:size], place[first[:size]]
+    kept = min(max(size, int(np.searchsorted(found, LIMIT))), len(found))
+    out = np.zeros(kept, PRINT)
+    out["hash"], out["place"] = found[:kept], place[first[:kept]]
     return out
 
 
+def _complete(own: np.ndarray, size: int) -> int:
+    """The hash up to which a fingerprint holds every anchor of its text."""
+    return max(LIMIT - 1, int(own["hash"][-1])) if len(own) >= size else (1 << 32) - 1
+
+
 def likeness(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
     """Share of common anchors in matching places, 0 to 1; two empty fingerprints are alike."""
     if not len(a) or not len(b):
         return 1.0 if len(a) == len(b) else 0.0
-    both = np.union1d(a["hash"], b["hash"])[:size]
+    both = np.union1d(a["hash"], b["hash"])
+    both = both[both <= min(_complete(a, size), _complete(b, size))]
+    if not len(both):
+        return 0.0
     common, i, j = np.intersect1d(a["hash"], b["hash"], assume_unique=True, return_indices=True)
     inside = common <= both[-1]
     shift = np.sort(a["place"][i[inside]].astype(np.int64) - b["place"][j[inside]])
