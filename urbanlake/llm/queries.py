@@ -1,6 +1,7 @@
 """All queries of the corpus operators: importing this module registers them."""
 
 from urbanlake.llm import (  # noqa: F401
+    divergence,
     fixity,
     html_text,
     mixing,
