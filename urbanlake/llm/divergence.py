@@ -17,8 +17,6 @@ differences of all pairs of sources of a language, so one row per pair leaves it
 
 from __future__ import annotations
 
-import string
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,28 +24,63 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from urbanlake.llm.common import partitions, query, table, text_of
+from urbanlake.llm import vectors as V
+from urbanlake.llm.common import query, table, text_of
 from urbanlake.session import stage
 
-#: A term: a run of letters A to Z and of characters beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: The bytes of terms: letters A to Z, and those of characters beyond ASCII.
+TERM_BYTE = np.zeros(256, bool)
+TERM_BYTE[65:91] = TERM_BYTE[97:123] = TERM_BYTE[128:] = True
 LEAST_DOCUMENTS = 10
 TOP = 10
 SALT = 8
-#: Rows of a block in the skyband filter, and cells of a step in the sums of pairs.
-BLOCK, CELLS = 256, 1 << 20
+#: Bytes of text that are counted at once, rows of a block in the skyband filter, cells of a step in the sums of pairs.
+STEP, BLOCK, CELLS = 1 << 23, 256, 1 << 20
+#: Kept rows that one task adds up, on average.
+CHUNK = 1 << 18
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """``lang, source, term, n, documents``: occurrences, and the documents that hold the term. One shuffle, pre-aggregated."""
-    terms = F.regexp_extract_all(F.translate(text_of(), string.ascii_uppercase, string.ascii_lowercase), F.lit(TERM), F.lit(0))
-    found = docs.select(*_names(), terms.alias("terms"))
-
-    def marks(of: Column, n: int, documents: int) -> Column:
-        return F.transform(of, lambda t: F.struct(t.alias("term"), F.lit(n).cast("long").alias("n"), F.lit(documents).cast("long").alias("documents")))
 
-    each = found.select("lang", "source", F.explode(F.concat(marks(F.col("terms"), 1, 0), marks(F.array_distinct("terms"), 0, 1))).alias("t"))
-    return each.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.sum("t.n").alias("n"), F.sum("t.documents").alias("documents"))
+    def read(batches):
+        for batch in batches:
+            lang, source = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
+            group = np.asarray(lang.indices).astype(np.int64) * len(source.dictionary) + np.asarray(source.indices)
+            data, offsets = V.utf8(batch.column("text"))
+            for a, b in V.steps(offsets, STEP):
+                part, term, n, documents = counted(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], group[a:b])
+                if len(n):
+                    names = [values.take(pa.array(i)).cast(pa.string()) for values, i in zip((lang.dictionary, source.dictionary), np.divmod(part, len(source.dictionary)))]
+                    yield pa.RecordBatch.from_arrays([*names, term.cast(pa.string()), pa.array(n), pa.array(documents)], names=["lang", "source", "term", "n", "documents"])
+
+    found = docs.select(*_names(), "text").mapInArrow(read, "lang string, source string, term string, n long, documents long")
+    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+
+
+def counted(data: np.ndarray, offsets: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Group, term, occurrences and documents, a row per group and term, of texts that lie one after the other."""
+    inside = TERM_BYTE[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    inner = offsets[(offsets > 0) & (offsets < len(data))]
+    first[inner], last[inner - 1] = inside[inner], inside[inner - 1]
+    start = np.flatnonzero(first)
+    ends = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - start)])
+    terms = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(V.LOWER[data[inside]])).dictionary_encode()
+    row = np.searchsorted(offsets, start, "right") - 1
+    key = group[row] * max(len(terms.dictionary), 1) + np.asarray(terms.indices)
+    # Rows ascend within equal keys, since the sort is stable.
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    edge = np.flatnonzero(new)
+    new[1:] |= row[1:] != row[:-1]
+    part, code = np.divmod(key[edge], max(len(terms.dictionary), 1))
+    documents = np.add.reduceat(new.astype(np.int64), edge) if len(edge) else np.zeros(0, np.int64)
+    return part, terms.dictionary.take(pa.array(code)), np.diff(np.append(edge, len(key))), documents
 
 
 def _names() -> list[Column]:
@@ -97,7 +130,7 @@ def group_totals(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 def pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
     """``lang, source, item, value`` for every two sources of a language with kept terms, either way round."""
-    chunks = partitions(kept.sparkSession)
+    chunks = 1 + kept.count() // CHUNK
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
 
     def add_up(terms: pa.Table, sources: pa.Table) -> pa.Table:
@@ -118,7 +151,6 @@ def pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
             for i in range(size - 1):
                 gap = p[:, i : i + 1] - p[:, i + 1 :]
                 sums[i, i + 1 :] += (gap * gap // (p[:, i : i + 1] + p[:, i + 1 :])).sum(axis=0)
-        sums += sums.T
         x, y = np.nonzero(sums)
         return pa.Table.from_arrays([pa.array([lang] * len(x), pa.string()), names.take(pa.array(x)), names.take(pa.array(y)), pa.array(sums[x, y])], schema=schema)
 
@@ -126,7 +158,8 @@ def pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
     dealt = kept.select("lang", "source", "term", "n", chunk)
     everywhere = groups.where("terms > 0").select("lang", "source", "total", "terms", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
     parts = dealt.groupBy("lang", "chunk").cogroup(everywhere.groupBy("lang", "chunk")).applyInArrow(_if_both(add_up, schema), "lang string, source string, item string, value long")
-    return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    either = F.explode(F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item"))))
+    return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")).select("lang", either.alias("pair"), "value").select("lang", "pair.*", "value")
 
 
 def _if_both(add_up, schema: pa.Schema):
