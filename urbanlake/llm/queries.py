@@ -4,6 +4,8 @@ from urbanlake.llm import (  # noqa: F401
     divergence,
     fixity,
     html_text,
+    infill,
+    minhash,
     mixing,
     ngram_join,
     packing,
