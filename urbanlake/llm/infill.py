@@ -28,6 +28,8 @@ from urbanlake.llm.common import partitions, query, table, text_of
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 UNITS = 4096
+#: Bytes of text that one partition of the sort holds, on average.
+PART_BYTES = 1 << 25
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: The places of the parts in the original, by their mark.
 PLACE = {PREFIX.encode(): 0, MIDDLE.encode(): 1, SUFFIX.encode(): 2}
@@ -134,7 +136,9 @@ def fill_in_middle(docs: DataFrame, key: str = "doc_id", text: str = "text", see
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id(), F.col(key), F.col(key).cast("string"), text_of(text)).rdd
-    count = max(partitions(spark), rows.getNumPartitions())
+    # As many partitions as the texts need to be sorted in memory, whatever the session's setting.
+    size = docs.agg(F.sum(F.octet_length(text_of(text)).cast("long"))).first()[0] or 0
+    count = max(partitions(spark), -(-size // PART_BYTES))
 
     def sort(records: RDD) -> RDD:
         return records.repartitionAndSortWithinPartitions(count, _row)
