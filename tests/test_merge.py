@@ -107,3 +107,39 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS t")
     text = plan(merge.dedupe_latest(df, ["k"], ["t"]))
     assert "row_number(), 1, Partial" in text
+
+
+def test_bucketed_merge_moves_the_batch_only(spark, scratch):
+    old = spark.createDataFrame([(i, i % 3, float(i)) for i in range(300)], "id int, month int, v double")
+    new = spark.createDataFrame([(i, i % 3, -1.0) for i in range(0, 400, 3)], "id int, month int, v double")
+    name = "merge_buckets"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        tables.upsert_bucketed(old, name, ["id"], 4, ["month"], scratch + "/t")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        merged = tables.merged_buckets(new, name, ["id"], 4, ["month"])
+        physical = merged._jdf.queryExecution().executedPlan().toString()
+        side = physical[physical.index("SortMergeJoin") :]
+        stored = side[: side.index("FileScan parquet")]
+        assert "Exchange" not in stored and "SelectedBucketsCount: 4 out of 4" in side
+        tables.upsert_bucketed(new, name, ["id"], 4, ["month"], scratch + "/t")
+        want = sorted({**{i: float(i) for i in range(300)}, **{i: -1.0 for i in range(0, 400, 3)}}.items(), key=repr)
+        assert rows(tables.read(spark, name), "id", "v") == want
+        # Months that the batch does not touch keep their files.
+        before = {p for p in spark.table(name).where("month = 1").inputFiles() if "month=1" in p}
+        tables.upsert_bucketed(new, name, ["id"], 4, ["month"], scratch + "/t")
+        assert before == {p for p in spark.table(name).where("month = 1").inputFiles() if "month=1" in p}
+        assert rows(tables.read(spark, name), "id", "v") == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_partitions_move_without_a_second_write(spark, scratch, monkeypatch):
+    target = scratch + "/t"
+    tables.upsert_table(spark.createDataFrame([(1, "a b", 1.0), (2, "c=d", 2.0), (3, None, 3.0)], "id int, p string, v double"), target, ["id"], ["p"])
+    monkeypatch.setattr(tables, "overwrite_partitions", lambda *a, **k: 1 / 0)
+    tables.upsert_table(spark.createDataFrame([(1, "a b", 5.0), (4, "c=d", 4.0), (5, None, 9.0), (6, "new", 6.0)], "id int, p string, v double"), target, ["id"], ["p"])
+    assert rows(tables.read(spark, target), "id", "p", "v") == [
+        (1, "a b", 5.0), (2, "c=d", 2.0), (3, None, 3.0), (4, "c=d", 4.0), (5, None, 9.0), (6, "new", 6.0),
+    ]

@@ -28,15 +28,31 @@ POINTS = [
 
 
 @pytest.mark.parametrize("cell", [None, 0.7, 5.0, 500.0])
-@pytest.mark.parametrize("limit", [0, spatial.BROADCAST_BYTES])
-def test_within(spark, cell, limit):
-    points = spark.createDataFrame([p[:3] for p in POINTS], "id string, lon double, lat double")
+def test_within(spark, cell):
+    points = spark.createDataFrame([*(p[:3] for p in POINTS), ("nowhere", None, 1.0), ("twin", 1.0, 1.0)], "id string, lon double, lat double")
     zones = spark.createDataFrame(ZONES, "zone int, wkt string")
-    out = spatial.within_join(points, zones, "lon", "lat", "wkt", cell, limit)
-    assert rows(out, "id", "zone") == sorted([(p[0], z) for p in POINTS for z in p[3]], key=repr)
-    text = plan(out)
-    assert ("SortMergeJoin" in text) == (limit == 0)
-    assert ("BroadcastHashJoin" in text) == (limit > 0)
+    out = spatial.within_join(points, zones, "lon", "lat", "wkt", cell)
+    want = [*((p[0], z) for p in POINTS for z in p[3]), ("nowhere", None), ("twin", 1)]
+    assert rows(out, "id", "zone") == sorted(want, key=repr)
+
+
+def test_cells_carry_no_edges_and_no_hint_is_given(spark):
+    points = spark.createDataFrame([p[:3] for p in POINTS], "id string, lon double, lat double")
+    text = plan(spatial.within_join(points, spark.createDataFrame(ZONES, "zone int, wkt string"), "lon", "lat", "wkt"))
+    exploded = [line for line in text.split("\n") if "Generate explode(sequence" in line]
+    assert exploded and not any("_edges" in line for line in exploded)
+    assert "ResolvedHint" not in text and "strategy=broadcast" not in text
+
+
+def test_zones_of_all_sizes_meet_few_cells(spark):
+    sizes = [10.0**k for k in range(-6, 3)]
+    zones = [(i, f"POLYGON (({i} {i}, {i + s} {i}, {i + s} {i + s}, {i} {i + s}, {i} {i}))") for i, s in enumerate(sizes)]
+    known = spatial.numbered_zones(spark.createDataFrame([*zones, (99, "POLYGON ((1 1, 1 1, 1 1))")], "zone int, wkt string"), "wkt")
+    base, levels, level = spatial.grid_levels(known)
+    assert base == pytest.approx(1e-6, rel=1e-6) and len(levels) <= 10
+    for row in known.select("_x0", "_x1", level.alias("level")).collect():
+        cell = base * spatial.LEVEL_FACTOR**row.level
+        assert row._x1 // cell - row._x0 // cell <= 1
 
 
 def inside(x, y, ring):

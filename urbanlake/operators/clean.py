@@ -95,6 +95,11 @@ def gdp_rules() -> list[Rule]:
     ]
 
 
+def archive_rules() -> list[Rule]:
+    """Of raw archive readings, whose time is in ``ts_utc``."""
+    return [Rule("no_time", F.col("ts_utc").isNotNull())]
+
+
 def normalize_schema(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Lower-case every name and cast the typed ones; a bad value becomes null.
 

@@ -72,9 +72,9 @@ def silver_hourly(raw: DataFrame) -> DataFrame:
     )
 
 
-def silver_fx(raw: DataFrame) -> DataFrame:
-    """Observed rates, one per day and currency pair; see ``timeseries.fill_gaps`` for the gaps."""
-    rates = clean.project(
+def fx_rows(raw: DataFrame) -> DataFrame:
+    """Rates as they landed, under their table's names."""
+    return clean.project(
         raw,
         {
             "rate_date": F.to_date("TIME_PERIOD"),
@@ -86,12 +86,17 @@ def silver_fx(raw: DataFrame) -> DataFrame:
             "loaded_at": "loaded_at",
         },
     )
-    good = clean.apply_rules(rates, clean.fx_rules()).withColumn("rate", rate_decimal(F.col("rate")))
+
+
+def silver_fx(raw: DataFrame) -> DataFrame:
+    """Observed rates, one per day and currency pair; see ``timeseries.fill_gaps`` for the gaps."""
+    good = clean.apply_rules(fx_rows(raw), clean.fx_rules()).withColumn("rate", rate_decimal(F.col("rate")))
     return dedupe_latest(good, ["rate_date", "from_currency", "to_currency"], ["loaded_at"], ["rate"])
 
 
-def silver_gdp(raw: DataFrame) -> DataFrame:
-    values = clean.project(
+def gdp_rows(raw: DataFrame) -> DataFrame:
+    """Yearly values as they landed, under their table's names."""
+    return clean.project(
         raw,
         {
             "country_code": "countryiso3code",
@@ -103,13 +108,16 @@ def silver_gdp(raw: DataFrame) -> DataFrame:
             "loaded_at": "loaded_at",
         },
     )
-    good = clean.apply_rules(values, clean.gdp_rules())
+
+
+def silver_gdp(raw: DataFrame) -> DataFrame:
+    good = clean.apply_rules(gdp_rows(raw), clean.gdp_rules())
     return dedupe_latest(good, ["country_code", "indicator_id", "year"], ["loaded_at"], ["gdp_usd"])
 
 
 def rollup_readings(raw: DataFrame, grain: str = "hour") -> DataFrame:
     """Raw archive readings per sensor and ``hour`` or ``day`` (UTC)."""
-    ts = raw.withColumn("ts_utc", parse_ts("datetime")).filter(F.col("ts_utc").isNotNull())
+    ts = clean.apply_rules(raw.withColumn("ts_utc", parse_ts("datetime")), clean.archive_rules())
     ts = ts.withColumn("date_utc", F.to_date("ts_utc"))
     keys = [F.col("sensors_id").alias("sensor_id"), "location_id", "parameter", "units", "date_utc"]
     readings = F.count("value").cast("int")

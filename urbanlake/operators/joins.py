@@ -46,6 +46,29 @@ def star_join(
     return fact
 
 
+def relationship_counts(
+    name: str, fact: DataFrame, dims: dict[str, DataFrame], relationships: dict[str, tuple[str, str]]
+) -> DataFrame:
+    """``fact, dimension, fact_column, matched, unmatched``: what every relationship of a fact finds, from one pass.
+
+    A role of a dimension is named ``dimension:role``.
+    """
+    keys = {role: dims[role.partition(":")[0]].select(key) for role, (_, key) in relationships.items()}
+    wide = star_join(fact.select(*dict.fromkeys(fk for fk, _ in relationships.values())), keys, relationships)
+    found = {role: F.count(f"`{role}_{key}`").alias(f"n{i}") for i, (role, (_, key)) in enumerate(relationships.items())}
+    rows = [
+        F.struct(
+            F.lit(role.partition(":")[0]).alias("dimension"),
+            F.lit(fk).alias("fact_column"),
+            F.col(f"n{i}").alias("matched"),
+            (F.col("total") - F.col(f"n{i}")).alias("unmatched"),
+        )
+        for i, (role, (fk, _)) in enumerate(relationships.items())
+    ]
+    counts = wide.agg(F.count("*").alias("total"), *found.values())
+    return counts.select(F.lit(name).alias("fact"), F.inline(F.array(*rows)))
+
+
 def yearly_join(left: DataFrame, *others: DataFrame, on: str = "year") -> DataFrame:
     """Left join of frames that already hold one row per ``on``, so nothing multiplies."""
     for other in others:

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 class Check(NamedTuple):
-    """``bad`` marks an unexpected value, ``evaluated`` a value that was tested."""
+    """``bad`` marks an unexpected value, ``evaluated`` a value that was tested, ``value`` is what a report can show."""
 
     label: str
     bad: Column
     evaluated: Column
+    value: Column | None = None
 
 
 def between(
@@ -25,7 +26,7 @@ def between(
         parts.append(c <= low if strict_min else c < low)
     if high is not None:
         parts.append(c > high)
-    return Check(label, reduce(lambda a, b: a | b, parts, F.lit(False)), c.isNotNull())
+    return Check(label, reduce(lambda a, b: a | b, parts, F.lit(False)), c.isNotNull(), c)
 
 
 def not_null(label: str, col: str) -> Check:
@@ -34,7 +35,7 @@ def not_null(label: str, col: str) -> Check:
 
 def in_set(label: str, col: str, values: list) -> Check:
     """Membership check; nulls are not evaluated."""
-    return Check(label, ~F.col(col).isin(values), F.col(col).isNotNull())
+    return Check(label, ~F.col(col).isin(values), F.col(col).isNotNull(), F.col(col))
 
 
 # Parameters that may occur.
@@ -79,15 +80,26 @@ def standard_checks() -> dict[str, list[Check]]:
     }
 
 
-def dq_run(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
+#: Different bad values that a check keeps count of, so that the most frequent ones come out.
+TRACKED = 1000
+
+
+def dq_run(df: DataFrame, table: str, checks: list[Check], top: int = 0) -> DataFrame:
     """Results of all checks from a single aggregation over ``df``.
 
-    The percentage is over evaluated values, null when there are none.
+    The percentage is over evaluated values, null when there are none. With
+    ``top``, ``unexpected_values`` holds the most frequent bad values as
+    (value, times), most frequent first and ties by value: from a sketch of
+    bounded size in the same aggregation, exact while a check meets at most
+    ``TRACKED`` different ones, and null where a check has no value to show.
     """
     counts = [F.count("*").alias("row_count")]
     for i, check in enumerate(checks):
         counts.append(F.count_if(check.evaluated & check.bad).alias(f"bad_{i}"))
         counts.append(F.count_if(check.evaluated).alias(f"seen_{i}"))
+        if top and check.value is not None:
+            shown = F.when(check.evaluated & check.bad, check.value.cast("string"))
+            counts.append(F.call_function("approx_top_k", shown, F.lit(TRACKED // 2), F.lit(TRACKED)).alias(f"top_{i}"))
     passed = reduce(lambda a, b: a & b, [F.col(f"bad_{i}") == 0 for i in range(len(checks))], F.lit(True))
     rows = [
         F.struct(
@@ -96,6 +108,7 @@ def dq_run(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
             (F.col(f"bad_{i}") == 0).alias("success"),
             F.col(f"bad_{i}").alias("unexpected_count"),
             F.try_divide(F.col(f"bad_{i}") * 100.0, F.col(f"seen_{i}")).alias("unexpected_percent"),
+            *([_most_frequent(i, check, top).alias("unexpected_values")] if top else []),
         )
         for i, check in enumerate(checks)
     ]
@@ -104,8 +117,17 @@ def dq_run(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     )
 
 
-def dq_run_all(tables: dict[str, DataFrame], checks: dict[str, list[Check]]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [dq_run(df, name, checks[name]) for name, df in tables.items()])
+def _most_frequent(i: int, check: Check, top: int) -> Column:
+    kind = "array<struct<value: string, times: bigint>>"
+    if check.value is None:
+        return F.lit(None).cast(kind)
+    real = F.filter(f"top_{i}", lambda x: x["item"].isNotNull())
+    ordered = F.array_sort(F.transform(real, lambda x: F.struct((-x["count"]).alias("n"), x["item"].alias("value"))))
+    return F.slice(F.transform(ordered, lambda x: F.struct(x["value"].alias("value"), (-x["n"]).alias("times"))), 1, top).cast(kind)
+
+
+def dq_run_all(tables: dict[str, DataFrame], checks: dict[str, list[Check]], top: int = 0) -> DataFrame:
+    return reduce(DataFrame.unionByName, [dq_run(df, name, checks[name], top) for name, df in tables.items()])
 
 
 def dq_report(results: DataFrame) -> DataFrame:

@@ -7,16 +7,23 @@ from pyspark.sql import DataFrame, functions as F
 from urbanlake.operators.measures import Model, measure
 
 
+UNKNOWN = "unknown"
+
+
 def overview(model: Model) -> DataFrame:
     """Headline figures."""
     return measure(["trips", "revenue_usd", "zones_with_sensors"], model)
 
 
 def coverage_matrix(model: Model) -> DataFrame:
-    """Sensor rows by zone and parameter; the columns are the parameters of the dimension, which is read for them."""
+    """Sensor rows by zone and parameter; the columns are the parameters of the dimension, which is read for them.
+
+    Rows whose parameter the dimension lacks stand under ``UNKNOWN``.
+    """
     named = model["fct_air_quality"].join(model["dm_air_measurement"].select("p_id", "p_name"), "p_id", "left")
     names = [r[0] for r in model["dm_air_measurement"].select("p_name").where("p_name is not null").distinct().orderBy("p_name").collect()]
-    return named.groupBy("zone_id").pivot("p_name", names).agg(F.sum("sensor_count"))
+    named = named.withColumn("p_name", F.coalesce("p_name", F.lit(UNKNOWN)))
+    return named.groupBy("zone_id").pivot("p_name", [*names, UNKNOWN]).agg(F.sum("sensor_count"))
 
 
 def traffic_vs_air(model: Model) -> DataFrame:

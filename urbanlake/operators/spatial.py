@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from urbanlake.operators.merge import dedupe_latest
+from urbanlake.session import stage
 
-# At most this many grid cells along one side of the largest zone.
-MAX_CELLS_PER_SIDE = 1024
-BROADCAST_BYTES = 64 << 20
-EDGE_BYTES = 48
-ROW_BYTES = 128
+LEVEL_FACTOR = 8
+#: Degrees; zones that are smaller still lie on level 0.
+SMALLEST_CELL = 1e-9
 
 
 def polygon_edges(wkt: Column) -> Column:
@@ -50,31 +51,10 @@ def strictly_within(x: Column, y: Column, edges: Column) -> Column:
     return (F.size(crossings) % 2 == 1) & ~on_edge
 
 
-def within_join(
-    points: DataFrame,
-    zones: DataFrame,
-    lon: str,
-    lat: str,
-    wkt: str,
-    cell_deg: float | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Points left-joined to the zones that strictly contain them.
-
-    Zones are listed under each grid cell their box meets, so the join is an
-    equi-join on the cell; box and exact tests run inside it. A point lies in
-    one cell, hence meets a zone once; overlapping zones give one row each and
-    an unmatched point keeps one row.
-
-    One pass over the zones measures them first. Without ``cell_deg`` the cell
-    is the mean box size, but never so small that a zone spans more than
-    ``MAX_CELLS_PER_SIDE`` cells a side. Listed zones of at most
-    ``broadcast_bytes`` are broadcast, so that points do not move at all;
-    larger ones are merged on the cell, and AQE splits the cells that hold most
-    points.
-    """
+def numbered_zones(zones: DataFrame, wkt: str) -> DataFrame:
+    """The zones with a number, their edges, and the box ``_x0, _x1, _y0, _y1`` around them; parsed once and stored."""
     attributes = [c for c in zones.columns if c != wkt]
-    box = zones.withColumn("_edges", polygon_edges(F.col(wkt))).select(
+    parsed = zones.withColumn("_edges", polygon_edges(F.col(wkt))).select(
         *attributes,
         "_edges",
         F.array_min(F.transform("_edges", lambda e: e.x1)).alias("_x0"),
@@ -82,46 +62,62 @@ def within_join(
         F.array_min(F.transform("_edges", lambda e: e.y1)).alias("_y0"),
         F.array_max(F.transform("_edges", lambda e: e.y1)).alias("_y1"),
     )
-    width, height = F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")
-    side = F.greatest(width, height)
-    mean, longest, count, edges, wide, high, area, attached = box.agg(
-        F.avg(side),
-        F.max(side),
-        F.count("*"),
-        F.coalesce(F.max(F.size("_edges")), F.lit(0)),
-        F.sum(width),
-        F.sum(height),
-        F.sum(width * height),
-        F.coalesce(F.max(F.octet_length(F.to_json(F.struct(*attributes)))), F.lit(0)),
-    ).first()
-    cell = cell_deg or max(mean or 0.0, (longest or 0.0) / MAX_CELLS_PER_SIDE, 1e-9)
-
-    def index(value: Column) -> Column:
-        return F.floor(value / F.lit(cell))
+    return stage(parsed.withColumn("_zone", F.monotonically_increasing_id()), "zones")
+
+
+def grid_levels(boxes: DataFrame, cell_deg: float | None = None) -> tuple[float, list[int], Column]:
+    """The cell size of level 0, the levels that have zones, and the expression for a zone's level.
+
+    Cells grow ``LEVEL_FACTOR`` times from level to level, and a zone lies on the first whose cells are no smaller than its
+    longer side: so it meets two cells a side at most, however its size compares with the others. Level 0 is that of the
+    smallest zone, unless ``cell_deg`` gives its size.
+    """
+    side = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
+    smallest = cell_deg or boxes.agg(F.min(F.when(side > 0, side))).first()[0] or 1.0
+    smallest = max(smallest, SMALLEST_CELL)
+    steps = F.log(side / F.lit(smallest)) / F.lit(math.log(LEVEL_FACTOR))
+    level = F.when(side > F.lit(smallest), F.ceil(steps)).otherwise(0).cast("int")
+    # At most one row per level, of which there are few: log(360 / SMALLEST_CELL) / log(LEVEL_FACTOR).
+    found = [row[0] for row in boxes.where("_x0 is not null").select(level.alias("level")).distinct().collect()]
+    return smallest, sorted(found), level
+
+
+def within_join(
+    points: DataFrame, zones: DataFrame, lon: str, lat: str, wkt: str, cell_deg: float | None = None
+) -> DataFrame:
+    """Points left-joined to the zones that strictly contain them.
+
+    Zones lie on a grid of several levels by their size, under four cells at most; a position has one key per level, and
+    meets the zones by an equi-join on level and cell, with their boxes as its condition. Cells carry boxes only: the edges
+    are joined to what is left, by the zone's number, for the exact test. Every position is decided once, whatever the
+    number of points that share it, and points take the zones of their position. Overlapping zones give one row each; an
+    unmatched point, or one without coordinates, keeps one row.
+    """
+    attributes = [c for c in zones.columns if c != wkt]
+    known = numbered_zones(zones, wkt)
+    base, levels, level = grid_levels(known, cell_deg)
+
+    def index(value: Column, level: Column) -> Column:
+        return F.floor(value / (F.lit(base) * F.pow(F.lit(float(LEVEL_FACTOR)), level)))
 
     def span(low: str, high: str) -> Column:
-        return F.explode(F.sequence(index(F.col(low)), index(F.col(high))))
-
-    cells = box.withColumn("_cx", span("_x0", "_x1")).withColumn("_cy", span("_y0", "_y1"))
-    # Upper bound: a box of w by h meets at most (w + 2)(h + 2) cells; every entry has the most edges and the widest attributes.
-    entries = (area or 0.0) / cell**2 + 2 * ((wide or 0.0) + (high or 0.0)) / cell + 4 * count
-    small = entries * (edges * EDGE_BYTES + attached + ROW_BYTES) <= broadcast_bytes
-    cells = F.broadcast(cells) if small else cells.hint("merge")
-    x, y = F.col(lon), F.col(lat)
-    # Points without coordinates are dealt to cells that no zone has, so that they do not all meet in one task.
-    nowhere = -F.lit(1 << 60) + F.pmod(F.xxhash64(*points.columns), F.lit(4096))
-    located = points.withColumns({"_px": F.coalesce(index(x), nowhere), "_py": index(y)})
-    located = located.withColumn("_py", F.coalesce("_py", nowhere))
-    same = (
-        (F.col("_px") == F.col("_cx"))
-        & (F.col("_py") == F.col("_cy"))
-        & (x > F.col("_x0"))
-        & (x < F.col("_x1"))
-        & (y > F.col("_y0"))
-        & (y < F.col("_y1"))
-        & strictly_within(x, y, F.col("_edges"))
-    )
-    return located.join(cells, same, "left").select(*points.columns, *attributes)
+        return F.explode(F.sequence(index(F.col(low), F.col("_level")), index(F.col(high), F.col("_level"))))
+
+    boxes = known.where("_x0 is not null").select("_zone", "_x0", "_x1", "_y0", "_y1", level.alias("_level"))
+    cells = boxes.withColumn("_cx", span("_x0", "_x1")).withColumn("_cy", span("_y0", "_y1"))
+    x, y = F.col("_x"), F.col("_y")
+    placed = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    spots = placed.select(F.col(lon).cast("double").alias("_x"), F.col(lat).cast("double").alias("_y")).distinct()
+    on_levels = spots.withColumn("_level", F.explode(F.array(*(F.lit(n) for n in levels)).cast("array<int>")))
+    on_levels = on_levels.select("_x", "_y", "_level", index(x, F.col("_level")).alias("_cx"), index(y, F.col("_level")).alias("_cy"))
+    in_box = (x > F.col("_x0")) & (x < F.col("_x1")) & (y > F.col("_y0")) & (y < F.col("_y1"))
+    near = on_levels.join(cells, ["_level", "_cx", "_cy"]).where(in_box).select("_x", "_y", "_zone")
+    shapes = known.select("_zone", "_edges", *attributes)
+    hits = near.join(shapes, "_zone").where(strictly_within(x, y, F.col("_edges"))).select("_x", "_y", *attributes)
+    found = placed.join(hits, (F.col(lon) == x) & (F.col(lat) == y), "left").select(*points.columns, *attributes)
+    # Points without coordinates would all meet in one task of that join.
+    nowhere = points.where(F.col(lon).isNull() | F.col(lat).isNull())
+    return found.unionByName(nowhere.select("*", *(F.lit(None).cast(zones.schema[c].dataType).alias(c) for c in attributes)))
 
 
 def sensor_zones(locations: DataFrame, zones: DataFrame, cell_deg: float | None = None) -> DataFrame:

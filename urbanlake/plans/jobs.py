@@ -14,15 +14,18 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from urbanlake.functions.dates import month_bounds, next_chunk
+from urbanlake.functions.dates import month_bounds, next_chunk, parse_ts
 from urbanlake.operators import export, facts, merge, quality, timeseries
 from urbanlake.operators.clean import (
     POLLUTANTS,
     TRIP_TYPES,
     Rule,
     active_in,
+    archive_rules,
     daily_rules,
     filter_in_set,
+    fx_rules,
+    gdp_rules,
     hourly_rules,
     incremental,
     normalize_schema,
@@ -32,10 +35,12 @@ from urbanlake.operators.clean import (
 )
 from urbanlake.operators.joins import semi_filter, weather_join
 from urbanlake.operators.spatial import sensor_zones
-from urbanlake.session import stage, unstage
-from urbanlake.sources import documents, files, tables
+from urbanlake.plans.fact_states import log_months, mark_of
+from urbanlake.session import delete_folder, scratch_path, stage, unstage
+from urbanlake.sources import archive_index, documents, files, tables
 
 START = datetime(1900, 1, 1)
+RESULT_SCHEMA = "source_name string, partition_key string, rows_written bigint, new_status string, message string"
 
 
 class Result(NamedTuple):
@@ -58,51 +63,70 @@ def load_trip_months(
     source: str,
     load_ts: datetime,
     rejects: str | None = None,
+    changes: str | None = None,
 ) -> tuple[DataFrame, list[tuple[str, str]]]:
     """Clean the month files ``keys`` into the trip table, replacing those months.
 
     A month that cannot be read is reported and skipped. Returns results for
     the ledger (rows per month) and the failed (key, message) pairs. Rejected
-    rows of these months replace those in the table ``rejects``, if it is given.
+    rows of these months replace those in the table ``rejects``, if it is given,
+    and ``changes`` names a log of rows that go and come, from which
+    ``refresh_trip_states`` keeps the fact.
     """
-    good, failed, read = [], [], []
+    frames: dict[str, DataFrame] = {}
+    failed: list[tuple[str, str]] = []
     for key in keys:
         year, month = key.split("-")
         try:
             raw = _month_folder(spark, root, int(year), int(month))
             trips = normalize_schema(raw, TRIP_TYPES)
-            good.append(trips.withColumns({"year": F.lit(int(year)), "month": F.lit(int(month))}))
-            read.append(key)
+            frames[key] = trips.withColumns({"year": F.lit(int(year)), "month": F.lit(int(month))})
         except Exception as error:
             failed.append((key, str(error)))
-    counts = spark.createDataFrame([], "source_name string, partition_key string, rows_written bigint")
-    if good:
-        raw = union_drift(good)
-        staged = stage(facts.silver_trips(raw, source, load_ts), "trips")
-        if rejects:
-            bad = split_rejects(raw, trip_rules())[1]
-            bad = stage(bad.withColumns({"loaded_at": F.lit(load_ts), "source_system": F.lit(source)}), "trip-rejects")
-            tables.overwrite_partitions(bad, rejects, ["year", "month"], clustered=True)
-            full = {(r.year, r.month) for r in bad.select("year", "month").distinct().collect()}
-            months = [tuple(map(int, key.split("-"))) for key in read]
-            tables.clear_partitions(spark, rejects, ["year", "month"], [m for m in months if m not in full])
-            unstage(bad)
-        tables.overwrite_partitions(staged, target, ["year", "month"], clustered=True)
-        # At most one row per month asked for. A month without passing rows succeeded with none and holds none.
-        written = {(r.year, r.month): r["count"] for r in staged.groupBy("year", "month").count().collect()}
-        months = {key: tuple(map(int, key.split("-"))) for key in read}
-        tables.clear_partitions(spark, target, ["year", "month"], [m for m in months.values() if m not in written])
-        counts = spark.createDataFrame([(source, key, written.get(m, 0)) for key, m in months.items()], counts.schema)
-    results = counts.withColumns(
-        {"new_status": F.lit("succeeded"), "message": F.lit(None).cast("string")}
-    )
-    if failed:
-        bad = spark.createDataFrame(
-            [(source, k, 0, "failed", m) for k, m in failed],
-            "source_name string, partition_key string, rows_written bigint, new_status string, message string",
-        )
-        results = results.unionByName(bad)
-    return results, failed
+    try:
+        done = _store_months(spark, frames, target, source, load_ts, rejects, changes)
+    except Exception:
+        # Which months cannot be read to the end? The others are loaded without them.
+        bad = archive_index.unreadable(lambda some: union_drift([frames[k] for k in some]), list(frames))
+        if not bad:
+            raise
+        failed += bad
+        done = _store_months(spark, {k: f for k, f in frames.items() if k not in dict(bad)}, target, source, load_ts, rejects, changes)
+    rows = [(source, key, n, "succeeded", None) for key, n in done.items()]
+    rows += [(source, key, 0, "failed", message) for key, message in failed]
+    return spark.createDataFrame(rows, RESULT_SCHEMA), failed
+
+
+def _store_months(
+    spark: SparkSession,
+    frames: dict[str, DataFrame],
+    target: str,
+    source: str,
+    load_ts: datetime,
+    rejects: str | None,
+    changes: str | None,
+) -> dict[str, int]:
+    """Rows written by month; a month without passing rows succeeded with none and holds none."""
+    if not frames:
+        return {}
+    raw = union_drift(list(frames.values()))
+    months = {key: tuple(map(int, key.split("-"))) for key in frames}
+    staged = stage(facts.silver_trips(raw, source, load_ts), "trips")
+    if rejects:
+        bad = split_rejects(raw, trip_rules())[1]
+        bad = stage(bad.withColumns({"loaded_at": F.lit(load_ts), "source_system": F.lit(source)}), "trip-rejects")
+        tables.overwrite_partitions(bad, rejects, ["year", "month"], clustered=True)
+        full = {(r.year, r.month) for r in bad.select("year", "month").distinct().collect()}
+        tables.clear_partitions(spark, rejects, ["year", "month"], [m for m in months.values() if m not in full])
+        unstage(bad)
+    if changes:
+        log_months(spark, staged, target, list(months.values()), changes, load_ts)
+    tables.overwrite_partitions(staged, target, ["year", "month"], clustered=True)
+    # At most one row per month asked for.
+    written = {(r.year, r.month): r["count"] for r in staged.groupBy("year", "month").count().collect()}
+    tables.clear_partitions(spark, target, ["year", "month"], [m for m in months.values() if m not in written])
+    unstage(staged)
+    return {key: written.get(month, 0) for key, month in months.items()}
 
 
 def _month_folder(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
@@ -122,18 +146,146 @@ def load_archive_month(
     source: str = "s3_archive",
 ) -> Result:
     """Roll one archive month of the active target sensors up and append it."""
+    locations, wanted, first, last = _archive_sensors(sensors, key)
+    raw = files.scan_archive_folders(spark, root, [key], locations)
+    out = _archive_rollup(raw, wanted, first, last, grain, source, load_ts)
+    return _written(out, lambda df: tables.append(df, target, ["load_date"]))
+
+
+def _archive_sensors(sensors: DataFrame, key: str) -> tuple[DataFrame, DataFrame, Column, Column]:
+    """The active locations of a month, their target sensors, and the month's bounds."""
     first, last = month_bounds(F.lit(key))
     end = last.cast("timestamp_ntz") + F.expr("interval 1 day - interval 1 microsecond")
-    ours = merge.dedupe_latest(filter_in_set(sensors, "p_name", POLLUTANTS), ["sensor_id"], ["loaded_at"])
+    ours = target_sensors(sensors)
     active = active_in(ours, "first_datetime_utc", "last_datetime_utc", first, end)
     locations = active.select("location_id").distinct()
-    raw = files.scan_archive_folders(spark, root, [key], locations)
     # All target sensors of an active location are read, as the folder holds them together.
-    wanted = ours.join(locations, "location_id", "left_semi")
+    return locations, ours.join(locations, "location_id", "left_semi"), first, last
+
+
+def target_sensors(sensors: DataFrame) -> DataFrame:
+    """The latest row of every sensor that measures a pollutant."""
+    return merge.dedupe_latest(filter_in_set(sensors, "p_name", POLLUTANTS), ["sensor_id"], ["loaded_at"])
+
+
+def _archive_rollup(
+    raw: DataFrame, wanted: DataFrame, first: Column, last: Column, grain: str, source: str, load_ts: datetime
+) -> DataFrame:
     out = facts.rollup_readings(semi_filter(raw, wanted, {"sensors_id": "sensor_id"}), grain)
     out = files.with_audit(files.between_dates(out, "date_utc", first, last), source, load_ts)
-    out = out.withColumns({"year": F.year("date_utc"), "month": F.month("date_utc")})
-    return _written(out, lambda df: tables.append(df, target, ["load_date"]))
+    return out.withColumns({"year": F.year("date_utc"), "month": F.month("date_utc")})
+
+
+class UnreadableFiles(RuntimeError):
+    """Some files of a load cannot be read to the end; ``files`` holds ``(path, reason)``."""
+
+    def __init__(self, found: list[tuple[str, str]]):
+        self.files = found
+        more = f" and {len(found) - 10} more" if len(found) > 10 else ""
+        super().__init__(f"{len(found)} unreadable: " + "; ".join(path for path, _ in found[:10]) + more)
+
+
+def load_archive_months(
+    spark: SparkSession,
+    root: str,
+    sensors: DataFrame,
+    keys: list[str],
+    target: str,
+    load_ts: datetime,
+    grain: str = "hour",
+    source: str = "s3_archive",
+    store: str | None = None,
+    bad_files: str = "fail",
+    rejects: str | None = None,
+    slice_size: int = archive_index.SLICE,
+) -> DataFrame:
+    """Load archive months one by one; what goes wrong in a month stays in it.
+
+    Returns a ledger result per month: its rows and 'succeeded', also where it has no folders, or 'failed' with the reason.
+    A month is appended whole or not at all. Its files come from the index in ``store`` (one of this run, if not given),
+    which is renewed for the months, and are rolled up ``slice_size`` at a time, a location never being cut. With
+    ``bad_files='skip'`` a month is loaded without the files that cannot be read, and the message names them; 'fail' fails
+    it. Readings without a time replace those of these months in the table ``rejects``, if it is given.
+    """
+    if bad_files not in ("fail", "skip"):
+        raise ValueError(f"bad_files must be fail or skip, not {bad_files!r}")
+    store = store or scratch_path(spark, "archive-index")
+    done: list[tuple[str, str, int, str, str | None]] = []
+    for key in keys:
+        try:
+            rows, note = _load_archive_month(spark, root, sensors, key, target, load_ts, grain, source, store, bad_files, rejects, slice_size)
+            done.append((source, key, rows, "succeeded", note))
+        except Exception as error:
+            done.append((source, key, 0, "failed", archive_index.reason(error)))
+    return spark.createDataFrame(done, RESULT_SCHEMA)
+
+
+def _load_archive_month(
+    spark: SparkSession,
+    root: str,
+    sensors: DataFrame,
+    key: str,
+    target: str,
+    load_ts: datetime,
+    grain: str,
+    source: str,
+    store: str,
+    bad_files: str,
+    rejects: str | None,
+    slice_size: int,
+) -> tuple[int, str | None]:
+    locations, wanted, first, last = _archive_sensors(sensors, key)
+    archive_index.register(spark, root, store, locations, [key])
+    months = archive_index.month_frame(spark.createDataFrame([(key,)], "partition_key string"))
+    found = archive_index.wanted_files(archive_index.read_index(spark, store), months, locations)
+    path, bad_path = scratch_path(spark, "archive-month"), scratch_path(spark, "archive-rejects")
+    bad: list[tuple[str, str]] = []
+
+    def read(paths: list[str]) -> DataFrame:
+        return archive_index.read_files(spark, root, paths)
+
+    def roll(paths: list[str]) -> None:
+        raw = read(paths)
+        _archive_rollup(raw, wanted, first, last, grain, source, load_ts).write.mode("append").parquet(path)
+        if rejects:
+            timed = semi_filter(raw, wanted, {"sensors_id": "sensor_id"}).withColumn("ts_utc", parse_ts("datetime"))
+            lost = split_rejects(timed, archive_rules())[1].drop("ts_utc")
+            lost.withColumns({"loaded_at": F.lit(load_ts), "source_system": F.lit(source)}).write.mode("append").parquet(bad_path)
+
+    some = False
+    try:
+        for paths in archive_index.slices(found, slice_size):
+            some = True
+            try:
+                roll(paths)
+            except Exception:
+                lost = archive_index.unreadable(read, paths)
+                if not lost:
+                    raise
+                bad += lost
+                good = [p for p in paths if p not in dict(lost)]
+                if bad_files == "skip" and good:
+                    roll(good)
+        if bad and bad_files == "fail":
+            raise UnreadableFiles(bad)
+        if rejects:
+            _replace_month(spark, bad_path, rejects, tuple(map(int, key.split("-"))))
+        if not some or not tables.exists(spark, path):
+            return 0, str(UnreadableFiles(bad)) if bad else "no folders of this month"
+        rows = _written(spark.read.parquet(path), lambda df: tables.append(df, target, ["load_date"])).rows
+        return rows, str(UnreadableFiles(bad)) if bad else None
+    finally:
+        for staged in (path, bad_path):
+            delete_folder(spark, staged)
+
+
+def _replace_month(spark: SparkSession, staged: str, target: str, month: tuple[int, int]) -> None:
+    """The staged rows of a month instead of those in ``target``."""
+    rows = spark.read.parquet(staged) if tables.exists(spark, staged) else None
+    if rows is None or rows.isEmpty():
+        tables.clear_partitions(spark, target, ["year", "month"], [month])
+    else:
+        tables.overwrite_partitions(rows, target, ["year", "month"])
 
 
 def load_sensor_days(pages: DataFrame, target: str, load_ts: datetime, source: str = "api") -> Result:
@@ -194,11 +346,14 @@ def _merge_new(
     partition_by: list[str],
     rules: list[Rule] | None = None,
     rejects: str | None = None,
+    rows: Callable[[DataFrame], DataFrame] = lambda new: new,
 ) -> Result:
     """Merge the rows above the watermark; the new mark is the newest load time read.
 
-    Rows that break a rule are appended to the table ``rejects``, if it is
-    given, with their reasons and source columns.
+    Rows that break a rule are stored in the table ``rejects``, if it is given,
+    with their reasons, under the mark of the run. ``rows`` gives the rows that
+    the rules judge. What earlier runs stored above the watermark goes first:
+    they failed after it, and their rows are read again.
     """
     low = watermark or START
     # Loads may have brought new columns.
@@ -210,11 +365,19 @@ def _merge_new(
     new = incremental(new, "loaded_at", None, newest)
     batch = build(new)
     if rejects:
-        tables.append(split_rejects(new, rules or [])[1], rejects)
+        _store_rejects(split_rejects(rows(new), rules or [])[1], rejects, low, newest)
     result = _written(batch, lambda df: tables.upsert_table(df, target, keys, partition_by))
     return Result(result.rows, newest)
 
 
+def _store_rejects(bad: DataFrame, target: str, low: datetime, newest: datetime) -> None:
+    spark, mark = bad.sparkSession, "rejected_up_to"
+    if tables.exists(spark, target):
+        stale = tables.read(spark, target).where(F.col(mark) > mark_of(low)).select(mark).distinct().collect()
+        tables.clear_partitions(spark, target, [mark], [tuple(row) for row in stale])
+    tables.append(bad.withColumn(mark, F.lit(mark_of(newest))), target, [mark])
+
+
 def merge_daily(
     spark: SparkSession,
     source: str,
@@ -237,14 +400,21 @@ def merge_hourly(
     return _merge_new(spark, source, target, watermark, build, keys, ["year", "month"], rules, rejects)
 
 
-def merge_gdp(spark: SparkSession, source: str, target: str, watermark: datetime | None) -> Result:
+def merge_gdp(
+    spark: SparkSession, source: str, target: str, watermark: datetime | None, rejects: str | None = None
+) -> Result:
     keys = ["country_code", "indicator_id", "year"]
-    return _merge_new(spark, source, target, watermark, facts.silver_gdp, keys, ["year"])
+    return _merge_new(
+        spark, source, target, watermark, facts.silver_gdp, keys, ["year"], gdp_rules(), rejects, facts.gdp_rows
+    )
 
 
-def merge_fx(spark: SparkSession, source: str, target: str, watermark: datetime | None) -> Result:
+def merge_fx(
+    spark: SparkSession, source: str, target: str, watermark: datetime | None, rejects: str | None = None
+) -> Result:
     """Merge new rates and refill every day they change, across loads too."""
     pair = ["from_currency", "to_currency"]
+    staged: list[DataFrame] = []
 
     def build(new: DataFrame) -> DataFrame:
         batch = facts.silver_fx(new)
@@ -252,12 +422,19 @@ def merge_fx(spark: SparkSession, source: str, target: str, watermark: datetime
             filled = timeseries.fill_gaps(batch, pair, "rate_date")
         else:
             silver = tables.read(spark, target).drop("rate_year")
-            filled = timeseries.fill_increment(silver, stage(batch, "fx-batch"), pair, "rate_date")
+            staged.append(stage(batch, "fx-batch"))
+            filled = timeseries.fill_increment(silver, staged[0], pair, "rate_date")
         # A filled day may repeat an old observation: stamp it with this load, so the fact sees it.
         stamp = F.when(F.col("is_filled"), new.agg(F.max("loaded_at")).scalar()).otherwise(F.col("loaded_at"))
         return filled.withColumns({"loaded_at": stamp, "rate_year": F.year("rate_date")})
 
-    return _merge_new(spark, source, target, watermark, build, ["rate_date", *pair], ["rate_year"])
+    keys = ["rate_date", *pair]
+    result = _merge_new(
+        spark, source, target, watermark, build, keys, ["rate_year"], fx_rules(), rejects, facts.fx_rows
+    )
+    for part in staged:
+        unstage(part)
+    return result
 
 
 def map_sensors(spark: SparkSession, locations: str, zones: str, target: str) -> Result:

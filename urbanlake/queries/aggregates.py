@@ -6,9 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from urbanlake.operators import control, dims, facts, timeseries
+from urbanlake.operators import control, dims, facts, states, timeseries
 from urbanlake.queries import bindings as b
 from urbanlake.queries.registry import query
+from urbanlake.session import stage
 from urbanlake.sources import tables
 
 _TAXI_COLUMNS = """date_key, pickup_zone_id, payment_id, {hour}trip_count, CAST(round(CAST(total_fare_usd AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_fare_usd,
@@ -98,6 +99,36 @@ def agg_raw_to_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(day, {"value": 6, "min_val": 2, "max_val": 2, "median_val": 2})
 
 
+@query(
+    "agg_month_median",
+    """SELECT sensor_id, CAST(month(date_utc) AS INTEGER) AS month, count(nullif(value, 0)) AS "values",
+      CAST(round(CAST(quantile_disc(nullif(value, 0), 0.5) AS DECIMAL(38,4)), 2) AS DOUBLE) AS median_val
+    FROM readings_raw GROUP BY ALL""",
+    b.READINGS_RAW,
+)
+def agg_month_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of a sensor's month from the sketches that its days stored."""
+    readings = b.readings_raw(spark, sf_dir).withColumn("value", F.nullif("value", F.lit(0.0)))
+    days = stage(states.day_sketches(readings, ["sensor_id", "date_utc"]), "day-sketches")
+    months = days.withColumn("month", F.month("date_utc"))
+    return _rounded(states.merged_quantiles(months, ["sensor_id", "month"], {"median_val": 0.5}), {"median_val": 2})
+
+
+@query(
+    "agg_zones_by_period",
+    """SELECT CAST(date_key // 100 % 100 AS INTEGER) AS month, CAST(p_id AS INTEGER) AS p_id, count(DISTINCT zone_id) AS zones_with_sensors
+    FROM fct_air_quality WHERE avg_value IS NOT NULL GROUP BY 1, 2
+    UNION ALL SELECT NULL, NULL, count(DISTINCT zone_id) FROM fct_air_quality WHERE avg_value IS NOT NULL""",
+    *b.AIR_CTES,
+)
+def agg_zones_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different zones by month and parameter, and over all, from the bitmaps that the days stored."""
+    fact = facts.air_fact(b.daily(spark, sf_dir), b.sensor_zones(spark, sf_dir), dims.parameters(spark), "day")
+    days = stage(states.zone_bitmaps(fact, ["date_key", "p_id"]), "zone-bitmaps")
+    months = days.withColumn("month", (F.floor(F.col("date_key") / 100) % 100).cast("int"))
+    return states.count_zones(months, ["month", "p_id"]).unionByName(states.count_zones(days, []), allowMissingColumns=True)
+
+
 @query(
     "agg_max_watermark",
     "SELECT 'trips' AS source, max(loaded_at) AS watermark FROM trips_raw UNION ALL SELECT 'readings', max(ts) FROM events",

@@ -376,6 +376,7 @@ def model(spark: SparkSession, sf_dir: str) -> Model:
             "dm_date": lambda: date_dimension(spark, "1995-01-01", 2922),
             "dm_zone": lambda: zones(spark, sf_dir),
             "dm_payment": lambda: dims.payments(spark),
+            "dm_vendor": lambda: dims.vendors(spark),
             "dm_currency": lambda: dims.currencies(spark),
             "dm_air_measurement": lambda: dims.parameters(spark),
         }

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from urbanlake.operators import clean, dims, facts, joins, spatial, timeseries
-from urbanlake.operators.measures import measure
+from urbanlake.operators import clean, dims, facts, joins, spatial, states, timeseries
+from urbanlake.operators.measures import INACTIVE, MANY_TO_MANY, RELATIONSHIPS, measure
 from urbanlake.operators.merge import insert_missing, refresh_fact, upsert
 from urbanlake.queries import bindings as b
 from urbanlake.queries.landing import WEATHER_SQL, weather
@@ -15,6 +15,7 @@ from urbanlake.queries.registry import query
 from urbanlake.session import stage
 
 PAIR = ["from_currency", "to_currency"]
+TRIP_ID = ["tpep_pickup_datetime", "pulocationid", "fare_amount", "loaded_at"]
 
 
 @query(
@@ -194,6 +195,57 @@ def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.groupBy(*keys).agg(F.sum("trip_count").alias("trips"))
 
 
+_MATCHES = {
+    "date_key": "date_key BETWEEN 19950101 AND 20021231",
+    "pickup_zone_id": "pickup_zone_id IN (SELECT zone_id FROM zones)",
+    "zone_id": "zone_id IN (SELECT zone_id FROM zones)",
+    "payment_id": "payment_id BETWEEN 1 AND 6",
+    "p_id": "p_id BETWEEN 1 AND 12",
+    "id_cur_from": "id_cur_from BETWEEN 1 AND 2",
+    "id_cur_to": "id_cur_to BETWEEN 1 AND 2",
+}
+
+
+def _relationships() -> dict[str, dict[str, tuple[str, str]]]:
+    """All many-to-one relationships by fact, the inactive one as a role of its dimension."""
+    found = {f: {d: k for d, k in of.items() if (f, d) not in MANY_TO_MANY} for f, of in RELATIONSHIPS.items()}
+    for (fact, dim), keys in INACTIVE.items():
+        found[fact][f"{dim}:inactive"] = keys
+    return {f: of for f, of in found.items() if of}
+
+
+_ALL_MATCHES = " UNION ALL ".join(
+    f"""SELECT '{fact}' AS fact, '{role.partition(":")[0]}' AS dimension, '{fk}' AS fact_column,
+      count(*) FILTER ({_MATCHES[fk]}) AS matched, count(*) - count(*) FILTER ({_MATCHES[fk]}) AS unmatched FROM {fact}"""
+    for fact, of in _relationships().items()
+    for role, (fk, _) in of.items()
+)
+
+
+@query(
+    "star_relationships",
+    _ALL_MATCHES,
+    *dict.fromkeys((*b.TAXI_CTES, *b.TAXI_HOUR_CTES, *b.AIR_CTES, *b.AIR_HOUR_CTES, *b.FX_CTES, b.ZONES)),
+)
+def star_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every fact that each of the 15 relationships finds in its dimension."""
+    model = b.model(spark, sf_dir)
+    parts = [joins.relationship_counts(name, model[name], model, of) for name, of in _relationships().items()]
+    return reduce(DataFrame.union, parts)
+
+
+@query(
+    "trips_by_vendor",
+    """SELECT CASE vendorid WHEN 1 THEN 'Creative Mobile Technologies, LLC' WHEN 2 THEN 'VeriFone Inc.' END AS vendor_name, count(*) AS trip_count
+    FROM trips GROUP BY 1""",
+    b.TRIPS_RAW,
+    b.TRIPS,
+)
+def trips_by_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = joins.lookup(b.trips(spark, sf_dir), b.model(spark, sf_dir)["dm_vendor"], {"vendorid": "id"}, {"vendor_name": "vendor_name"})
+    return named.groupBy("vendor_name").agg(F.count("*").alias("trip_count"))
+
+
 @query(
     "gdp_year_join",
     """SELECT year, trips, gdp_usd FROM (SELECT CAST(year(trip_date) AS INTEGER) AS year, count(*) AS trips FROM trips GROUP BY 1)
@@ -231,6 +283,29 @@ def incremental_fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "incremental_state_refresh",
+    """SELECT date_key, pickup_zone_id, payment_id, trip_count, CAST(round(CAST(total_revenue_usd AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_revenue_usd,
+      CAST(round(CAST(avg_trip_duration_min AS DECIMAL(38,6)), 4) AS DOUBLE) AS avg_trip_duration_min
+    FROM fct_taxi_daily""",
+    *b.TAXI_CTES,
+)
+def incremental_state_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of the morning loads, in which every fifth fare was wrong, then of what came and of what was corrected."""
+    trips = stage(b.trips(spark, sf_dir), "silver-trips")
+    morning = clean.incremental(trips, "loaded_at", None, "2002-01-01 12:00:00")
+    wrong = F.pmod(F.xxhash64(*TRIP_ID), F.lit(5)) == 0
+    first = morning.withColumn("total_amount", F.when(wrong, F.col("total_amount") + 7).otherwise(F.col("total_amount")))
+    held = stage(states.trip_states(first), "trip-states")
+    come = clean.incremental(trips, "loaded_at", "2002-01-01 12:00:00").union(morning.where(wrong))
+    log = states.signed_changes(first.where(wrong), come)
+    merged = states.merge_states([held, states.trip_states(log, sign="change")], states.TRIP_KEYS)
+    return states.trip_fact(merged).select(
+        "date_key", "pickup_zone_id", "payment_id", "trip_count", b.near("total_revenue_usd", 2).alias("total_revenue_usd"),
+        b.near("avg_trip_duration_min", 4).alias("avg_trip_duration_min"),
+    )
+
+
 @query(
     "fx_incremental_fill",
     """SELECT rate_date, from_currency, to_currency, CAST(rate AS DOUBLE) AS rate, rate_date <> observed_on AS is_filled

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from urbanlake.operators import dims
+from urbanlake.plans import jobs
 from urbanlake.queries import bindings as b
 from urbanlake.queries.registry import query
-from urbanlake.session import scratch_path
-from urbanlake.sources import documents, files, tables
+from urbanlake.session import scratch_path, stage
+from urbanlake.sources import archive_index, documents, files, tables
 
 _LANDED: dict[tuple[str, str, str], str] = {}
 
@@ -40,7 +42,12 @@ def trip_files(spark: SparkSession, sf_dir: str) -> str:
 
 def archive_files(spark: SparkSession, sf_dir: str) -> str:
     """Readings as csv.gz under locationid=/year=/month= folders; times carry an offset."""
-    raw = b.readings_raw(spark, sf_dir).select(
+    raw = _archive_rows(b.readings_raw(spark, sf_dir))
+    return landed(spark, sf_dir, "archive", lambda path: _write_archive(raw, path))
+
+
+def _archive_rows(readings: DataFrame) -> DataFrame:
+    return readings.select(
         "location_id",
         F.col("sensor_id").alias("sensors_id"),
         F.concat(F.lit("site "), "location_id").alias("location"),
@@ -55,11 +62,10 @@ def archive_files(spark: SparkSession, sf_dir: str) -> str:
         F.month("ts_utc").alias("month"),
     )
 
-    def write(path: str) -> None:
-        writer = raw.write.partitionBy("locationid", "year", "month")
-        writer.option("header", True).option("compression", "gzip").csv(path)
 
-    return landed(spark, sf_dir, "archive", write)
+def _write_archive(raw: DataFrame, path: str, compression: str = "gzip") -> None:
+    writer = raw.write.partitionBy("locationid", "year", "month")
+    writer.option("header", True).option("compression", compression).csv(path)
 
 
 @query(
@@ -107,10 +113,92 @@ def scan_csv_gz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_existing_paths", _ARCHIVE_ROWS + " WHERE location_id IN (1, 3)", b.READINGS_RAW)
 def scan_existing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Locations 1 and 3 exist, 99 and the month 1997-12 do not."""
+    """Locations 1 and 3 exist, 99 and the month 1997-12 do not; the claimed months of a ledger prune the index."""
+    root, store = archive_files(spark, sf_dir), scratch_path(spark, "archive-index")
     wanted = spark.createDataFrame([(1,), (3,), (99,)], "location_id bigint")
-    rows = files.scan_archive_folders(spark, archive_files(spark, sf_dir), ["1997-12", "1998-01"], wanted)
-    return _archive_columns(rows)
+    archive_index.register(spark, root, store, wanted, ["1997-12", "1998-01", "1998-02"])
+    states = [("1997-12", "running"), ("1998-01", "running"), ("1998-02", "pending")]
+    claimed = spark.createDataFrame(states, "partition_key string, status string").where("status = 'running'")
+    found = archive_index.wanted_files(archive_index.read_index(spark, store), archive_index.month_frame(claimed), wanted)
+    return _archive_columns(reduce(DataFrame.union, [archive_index.read_files(spark, root, some) for some in archive_index.slices(found)]))
+
+
+# The readings over three months, by the day of the month.
+_SPREAD = """spread AS (
+  SELECT *, month(moved) AS month, strftime(moved, '%Y-%m') AS key FROM (
+    SELECT *, ts_utc + to_months(CAST(day(ts_utc) // 10 AS INTEGER)) AS moved FROM readings_raw))"""
+_BAD = (3, 2)
+
+
+def damaged_archive(spark: SparkSession, sf_dir: str) -> str:
+    """An archive of three months, in which the folder of one location and month holds what no reader can unpack."""
+    moved = b.readings_raw(spark, sf_dir).withColumn("ts_utc", F.expr("ts_utc + make_ym_interval(0, CAST(day(ts_utc) div 10 AS INT))"))
+    raw = _archive_rows(moved)
+    bad = (F.col("locationid") == _BAD[0]) & (F.col("month") == _BAD[1])
+
+    def write(path: str) -> None:
+        _write_archive(raw.where(~bad), path)
+        plain = scratch_path(spark, "archive-plain")
+        _write_archive(raw.where(bad), plain, "none")
+        # Text under the name of an archive.
+        conf, fs_path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+        fs = fs_path(path).getFileSystem(conf)
+        for number, name in enumerate(spark.read.text(plain).inputFiles()):
+            folder = fs_path(path + name[name.index("/locationid=") : name.rindex("/")])
+            fs.mkdirs(folder)
+            fs.rename(fs_path(name), fs_path(folder, f"bad-{number}.csv.gz"))
+
+    return landed(spark, sf_dir, "damaged-archive", write)
+
+
+@query(
+    "scan_archive_health",
+    f"""SELECT location_id AS locationid, CAST(month AS INTEGER) AS month,
+      CASE WHEN location_id = {_BAD[0]} AND month = {_BAD[1]} THEN 'unreadable' ELSE 'good' END AS status,
+      CASE WHEN location_id = {_BAD[0]} AND month = {_BAD[1]} THEN 0 ELSE count(*) END AS row_count
+    FROM spread GROUP BY location_id, month""",
+    b.READINGS_RAW,
+    _SPREAD,
+)
+def scan_archive_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of all folders, those that cannot be read to the end, and the rows of the others."""
+    root, store = damaged_archive(spark, sf_dir), scratch_path(spark, "archive-index")
+    locations = b.readings_raw(spark, sf_dir).select("location_id").distinct()
+    archive_index.register(spark, root, store, locations, ["1998-01", "1998-02", "1998-03", "1998-04"])
+
+    def read(paths: list[str]) -> DataFrame:
+        return archive_index.read_files(spark, root, paths)
+
+    listed = stage(archive_index.health(read, archive_index.read_index(spark, store)), "archive-health")
+    good = [read(some) for some in archive_index.slices(listed.where("status = 'good'"))]
+    counts = reduce(DataFrame.union, good).groupBy("locationid", "month").agg(F.count("*").alias("row_count"))
+    folders = listed.groupBy("locationid", "month").agg(F.max("status").alias("status"))
+    rows = F.when(F.col("status") == "good", F.coalesce("row_count", F.lit(0))).otherwise(F.lit(0)).cast("bigint")
+    return folders.join(counts, ["locationid", "month"], "left").select("locationid", "month", "status", rows.alias("row_count"))
+
+
+@query(
+    "archive_load_results",
+    f"""SELECT 's3_archive' AS source_name, key AS partition_key,
+      CASE WHEN bool_or(location_id = {_BAD[0]} AND month = {_BAD[1]}) THEN 0
+        ELSE count(DISTINCT (sensor_id, location_id, parameter, units, date_trunc('hour', moved))) END AS rows_written,
+      CASE WHEN bool_or(location_id = {_BAD[0]} AND month = {_BAD[1]}) THEN 'failed' ELSE 'succeeded' END AS new_status
+    FROM spread GROUP BY key
+    UNION ALL SELECT 's3_archive', '1998-04', 0, 'succeeded'""",
+    b.READINGS_RAW,
+    _SPREAD,
+)
+def archive_load_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One result per month: a month with an unreadable file fails alone, one without folders has no rows."""
+    root = damaged_archive(spark, sf_dir)
+    null = F.lit(None).cast("timestamp_ntz")
+    sensors = b.readings_raw(spark, sf_dir).select("sensor_id").distinct().select(
+        "sensor_id", (F.col("sensor_id") % 5 + 1).alias("location_id"), F.lit("no2").alias("p_name"),
+        null.alias("first_datetime_utc"), null.alias("last_datetime_utc"), F.lit("2024-01-01").cast("timestamp").alias("loaded_at"),
+    )
+    keys = ["1998-01", "1998-02", "1998-03", "1998-04"]
+    results = jobs.load_archive_months(spark, root, sensors, keys, scratch_path(spark, "archive-bronze"), datetime(2024, 1, 1))
+    return results.drop("message")
 
 
 @query(

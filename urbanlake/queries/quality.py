@@ -188,6 +188,27 @@ def dq_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _result(_run_all(spark, sf_dir))
 
 
+@query(
+    "dq_top_values",
+    """SELECT table_name, label, value, count(*) AS times FROM (
+      SELECT 'trips' AS table_name, 'passengers' AS label, CAST(passenger_count AS VARCHAR) AS value FROM trips_raw WHERE passenger_count NOT BETWEEN 2 AND 5
+      UNION ALL SELECT 'trips', 'payment', CAST(payment_type AS VARCHAR) FROM trips_raw WHERE payment_type NOT IN (1)
+      UNION ALL SELECT 'readings', 'parameter', parameter FROM readings_raw WHERE parameter NOT IN ('no2')
+      UNION ALL SELECT 'readings', 'hour', CAST(hour_utc AS VARCHAR) FROM readings_raw WHERE hour_utc > 5)
+    GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY table_name, label ORDER BY times DESC, value) <= 5""",
+    b.TRIPS_RAW,
+    b.READINGS_RAW,
+)
+def dq_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five most frequent values that break each check, from the aggregation that counts them."""
+    tables = {"trips": b.trips_raw(spark, sf_dir), "readings": b.readings_raw(spark, sf_dir)}
+    checks = {
+        "trips": [quality.between("passengers", "passenger_count", 2, 5), quality.in_set("payment", "payment_type", [1])],
+        "readings": [quality.in_set("parameter", "parameter", ["no2"]), quality.between("hour", "hour_utc", None, 5)],
+    }
+    return quality.dq_run_all(tables, checks, top=5).select("table_name", "label", F.inline("unexpected_values"))
+
+
 @query(
     "dq_report",
     """SELECT table_name, CASE WHEN bool_and(success) THEN '✅ ' ELSE '⚠️ ' END || upper(table_name) || ' ('

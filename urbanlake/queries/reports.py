@@ -163,7 +163,7 @@ def r_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CAST(sum(sensor_count) FILTER (WHERE p_name = '{p}') AS BIGINT) AS {p}"
         for p in "pm1 pm25 pm10 relativehumidity nox temperature no2 no o3 co um003 so2".split()
     )
-    + " FROM fct_air_quality GROUP BY zone_id",
+    + ", CAST(sum(sensor_count) FILTER (WHERE p_id IS NULL) AS BIGINT) AS unknown FROM fct_air_quality GROUP BY zone_id",
     *b.AIR_CTES,
 )
 def r_coverage_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,18 @@ def keyed_upsert_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, path).drop("day")
 
 
+@query("bucketed_upsert", _UPSERT_SQL, b.READINGS_RAW)
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a table bucketed by its key, whose rows are not shuffled."""
+    old, new = _split(spark, sf_dir)
+    path = scratch_path(spark, "bucketed")
+    name = f"readings_{path[-32:]}"
+    for batch in (old, new):
+        month = F.date_format("date_utc", "yyyyMM").cast("int")
+        tables.upsert_bucketed(batch.withColumn("month_key", month), name, _READING_KEYS, 8, ["month_key"], path)
+    return tables.read(spark, name).drop("month_key")
+
+
 @query(
     "dim_overwrite",
     """SELECT CAST(n_nationkey AS INTEGER) AS zone_id, n_name AS zone_name, r_name AS borough, customers

@@ -33,14 +33,22 @@ def build_session(
     return builder.getOrCreate()
 
 
+#: Scratch folders of local sessions that name none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``."""
+    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
+
+    A session that names none has its driver and executors in one process, or it cannot work: then a folder of this machine
+    serves them all.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="urbanlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        name = spark.sparkContext.applicationId
+        root = _LOCAL.get(name) or _LOCAL.setdefault(name, tempfile.mkdtemp(prefix="urbanlake-"))
     return f"{root.rstrip('/')}/urbanlake/{label}-{uuid.uuid4().hex}"
 
 

@@ -19,9 +19,13 @@ SENSOR_DAYS = """struct<results: array<struct<
     value: double, period: struct<datetimeFrom: struct<utc: string>>,
     summary: struct<min: double, max: double, median: double>,
     coverage: struct<percentComplete: double, expectedCount: int>>>>"""
-INDICATORS = """array<struct<
-    indicator: struct<id: string, value: string>, country: struct<id: string, value: string>,
-    countryiso3code: string, date: string, value: string, unit: string, obs_status: string, decimal: bigint>>"""
+INDICATOR_FIELDS = {
+    "indicator_id": ("indicator.id", "string"),
+    "indicator_name": ("indicator.value", "string"),
+    "country_id": ("country.id", "string"),
+    "country_name": ("country.value", "string"),
+    "countryiso3code": ("countryiso3code", "string"),
+}
 WEATHER = """struct<hourly: struct<
     time: array<string>, temperature_2m: array<double>, apparent_temperature: array<double>,
     precipitation: array<double>, wind_speed_10m: array<double>, relative_humidity_2m: array<double>,
@@ -72,20 +76,21 @@ def flatten_sensor_days(pages: DataFrame) -> DataFrame:
 
 
 def flatten_indicators(pages: DataFrame, load_ts: datetime | Column) -> DataFrame:
-    """Rows of the second element of ``[meta, rows]``."""
+    """Rows of the second element of ``[meta, rows]``; the two have no common type, so the payload is parsed as a variant, once."""
     stamp = load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
-    rows = F.from_json(F.get_json_object("payload", "$[1]"), INDICATORS)
-    return pages.select(F.explode(rows).alias("r"), stamp.alias("loaded_at")).select(
-        F.col("r.indicator.id").alias("indicator_id"),
-        F.col("r.indicator.value").alias("indicator_name"),
-        F.col("r.country.id").alias("country_id"),
-        F.col("r.country.value").alias("country_name"),
-        F.col("r.countryiso3code").alias("countryiso3code"),
-        F.col("r.date").try_cast("bigint").alias("year"),
-        F.col("r.value").try_cast("decimal(38,6)").cast("decimal(38,0)").try_cast("bigint").alias("value"),
-        F.col("r.unit").alias("unit"),
-        F.col("r.obs_status").alias("obs_status"),
-        F.col("r.decimal").alias("decimal"),
+    rows = F.try_variant_get(F.try_parse_json("payload"), "$[1]", "array<variant>")
+    found = pages.select(F.explode(rows).alias("r"), stamp.alias("loaded_at"))
+
+    def field(path: str, kind: str = "string") -> Column:
+        return F.try_variant_get("r", f"$.{path}", kind)
+
+    return found.select(
+        *(field(path, kind).alias(name) for name, (path, kind) in INDICATOR_FIELDS.items()),
+        field("date").try_cast("bigint").alias("year"),
+        field("value").try_cast("decimal(38,6)").cast("decimal(38,0)").try_cast("bigint").alias("value"),
+        field("unit").alias("unit"),
+        field("obs_status").alias("obs_status"),
+        field("decimal", "bigint").alias("decimal"),
         "loaded_at",
     )
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from urbanlake.operators.merge import upsert
-from urbanlake.session import delete_folder, stage, unstage
+from urbanlake.session import delete_folder, scratch_path, stage, unstage
 
 
 log = logging.getLogger(__name__)
@@ -110,8 +111,9 @@ def upsert_table(
     ``partition_by`` must be determined by the key (a month of a date in the
     key, say). Then only touched partitions are read, merged and replaced; the
     rest of the table is neither read nor written. The merged partitions are
-    staged first and the staged path is logged: should the driver die while it
-    swaps folders, pass that path to ``overwrite_partitions`` again.
+    written once, beside the table, and their folders moved in; the staged path
+    is logged: should the driver die while it moves them, pass that path to
+    ``move_partitions`` again.
     """
     spark = df.sparkSession
     if not exists(spark, target):
@@ -121,11 +123,88 @@ def upsert_table(
     current = read(spark, target)
     old = current.filter(_in_partitions(batch, partition_by))
     merged = upsert(old, batch, keys, null_safe).select(*current.columns)
-    staged = stage(spread(merged, partition_by), "upsert-merged")
-    log.info("partitions of %s staged in %s", target, staged.inputFiles()[:1])
-    overwrite_partitions(staged, target, partition_by, clustered=True)
+    path = scratch_path(spark, "upsert-merged")
+    spread(merged, partition_by).write.partitionBy(*partition_by).parquet(path)
+    log.info("partitions of %s staged in %s", target, path)
+    if _is_path(target):
+        move_partitions(spark, path, target, partition_by)
+    else:
+        overwrite_partitions(spark.read.schema(merged.schema).parquet(path), target, partition_by, clustered=True)
+    # Kept only where the swap failed.
+    delete_folder(spark, path)
+    unstage(batch)
+
+
+def move_partitions(spark: SparkSession, staged: str, target: str, partition_by: list[str]) -> None:
+    """Move the partition folders of ``staged`` in the place of those of ``target``, one rename each.
+
+    Moved folders are gone from ``staged``, so that a call that broke off can be
+    repeated. Where both lie in different stores the rows are written instead.
+    """
+    make, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    here, there = make(staged), make(target)
+    fs, other = here.getFileSystem(conf), there.getFileSystem(conf)
+    if not fs.getUri().equals(other.getUri()):
+        overwrite_partitions(spark.read.parquet(staged), target, partition_by, clustered=True)
+        return
+    for status in fs.globStatus(make(here, "/".join(f"{c}=*" for c in partition_by))):
+        name = "/".join(part for part in status.getPath().toString().split("/")[-len(partition_by) :])
+        place = make(there, name)
+        fs.mkdirs(place.getParent())
+        fs.delete(place, True)
+        if not fs.rename(status.getPath(), place):
+            raise RuntimeError(f"cannot move {status.getPath().toString()} to {place.toString()}")
+
+
+def create_bucketed(
+    df: DataFrame, table: str, keys: list[str], buckets: int, partition_by: list[str], path: str | None = None
+) -> None:
+    """A catalog table whose files are dealt out by the key, so that merges on it do not move what it holds."""
+    _save_bucketed(df.repartition(buckets, *keys), table, keys, buckets, partition_by, path)
+
+
+def _save_bucketed(
+    dealt: DataFrame, table: str, keys: list[str], buckets: int, partition_by: list[str], path: str | None
+) -> None:
+    writer = dealt.write.format("parquet").partitionBy(*partition_by).bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def merged_buckets(df: DataFrame, table: str, keys: list[str], buckets: int, partition_by: list[str]) -> DataFrame:
+    """The touched partitions of a bucketed table with ``df`` merged in; the batch alone is shuffled.
+
+    Both sides of the union lie by bucket, so that a writing task holds rows of one bucket. Null keys match nothing.
+    """
+    current = df.sparkSession.table(table)
+    batch = df.select(*current.columns).repartition(buckets, *keys)
+    held = current.filter(_in_partitions(df, partition_by)) if partition_by else current
+    return held.hint("merge").join(batch.select(*keys), keys, "left_anti").select(*current.columns).union(batch)
+
+
+def upsert_bucketed(
+    df: DataFrame, table: str, keys: list[str], buckets: int, partition_by: list[str], path: str | None = None
+) -> None:
+    """``upsert_table`` for a table of ``create_bucketed``: no shuffle of the stored side, and one staged write.
+
+    The keys and partition columns of ``df`` must be unique per key and follow
+    from it, as there.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        create_bucketed(df, table, keys, buckets, partition_by, path)
+        return
+    batch = stage(df, "bucket-batch")
+    merged = merged_buckets(batch, table, keys, buckets, partition_by)
+    side, place = f"{table}_merge_{uuid.uuid4().hex[:12]}", scratch_path(spark, "bucket-merged")
+    _save_bucketed(merged, side, keys, buckets, partition_by, place)
+    log.info("partitions of %s staged in %s", table, place)
+    try:
+        # The files of the side table hold a bucket each, and each is read by tasks of its own.
+        overwrite_partitions(spark.table(side), table, partition_by, clustered=True)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {side}")
     # Kept only where the swap failed.
-    unstage(staged)
+    delete_folder(spark, place)
     unstage(batch)
 
 
