@@ -1,9 +1,16 @@
 """Quality rules under weak supervision: rules vote or abstain, expectation-maximisation weighs them.
 
 Each rule votes 1 (good), -1 (bad) or 0 (abstains). Documents are counted by their votes: with r rules there are at most
-3 ** r patterns, whatever the number of documents, and the model is fitted on that table. The model is a hidden class with
-conditionally independent votes; a rule's accuracy is estimated for either class, since a rule that finds one kind of junk
-says little when it stays silent. The posterior probability of the good class replaces "must pass every rule".
+3 ** r patterns, 19,683 here, whatever the number of documents, and the model is fitted on that table. The model is a hidden
+class with conditionally independent votes; a rule's rate of bad votes is estimated for either class, among the documents on
+which it votes. An abstention carries no weight, so that two rules which abstain at the same oddity cannot outvote the
+others, and the odds of one vote are bounded.
+
+Likelihood alone would take any two rules that see the same thing, such as repeated lines and repeated words, for the
+hidden class. So the estimates are the most probable ones under two prior beliefs, that a good document gets a bad vote in
+``FALSE_ALARM`` of cases and that ``GOOD`` of the documents are good, each as heavy as the documents themselves. The fit
+starts from several first guesses, and the most probable result is taken. The posterior probability of the good class
+replaces "must pass every rule".
 """
 
 from __future__ import annotations
@@ -18,14 +25,19 @@ from urbanlake.session import stage
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
-BETTER = math.log(2)
+#: A bad vote speaks against a document with odds of 2 to 1 at least, and no vote with more than 1000 to 1.
+BETTER, LIMIT = 2.0, math.log(1000)
+FALSE_ALARM, GOOD = 0.01, 0.9
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct_words", "n_ended_lines", "n_upper", "n_digits"]
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the measures of a text that the rules read; a null text has no words.
+    """Add the measures of a text that the rules read; a null text has no words, an empty table stays empty.
 
-    Words and windows are compared by 64-bit hashes, within one text only.
+    Words and windows are compared by 64-bit hashes, within one text only. Repeated rows stay as they are. A column of
+    ``docs`` that is named like a measure gives way to it.
     """
+    docs = docs.drop(*(c for c in docs.columns if c.lower() in MEASURES))
     own = F.coalesce(F.col(text), F.lit(""))
     df = docs.withColumn("_text", own).withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(WORD))
@@ -81,49 +93,75 @@ def votes() -> dict[str, Column]:
 
 
 class Model:
-    """Class prior and, by rule, the log-odds of good against bad of each vote."""
+    """Share of the good class and, by rule, the rates of bad votes in the good and in the bad class."""
 
-    def __init__(self, prior: float, odds: list[dict[int, float]]):
-        self.prior, self.odds = prior, odds
+    def __init__(self, prior: float, rates: list[tuple[float, float]]):
+        self.prior, self.rates = prior, rates
+
+    def odds(self, rule: int, vote: int) -> float:
+        """Log-odds of good against bad that a vote gives; none for an abstention."""
+        p, q = self.rates[rule]
+        found = {-1: math.log(p / q), 0: 0.0, 1: math.log((1 - p) / (1 - q))}[vote]
+        return max(-LIMIT, min(LIMIT, found))
 
     def log_odds(self, names: list[str]) -> Column:
         total = F.lit(math.log(self.prior / (1 - self.prior)))
-        for name, odds in zip(names, self.odds):
-            total = total + F.when(F.col(name) == 1, odds[1]).when(F.col(name) == -1, odds[-1]).otherwise(odds[0])
+        for i, name in enumerate(names):
+            total = total + F.when(F.col(name) == 1, self.odds(i, 1)).when(F.col(name) == -1, self.odds(i, -1)).otherwise(0.0)
         return total
 
     def posterior(self, names: list[str]) -> Column:
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), self.log_odds(names)))))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.log_odds(names)))
+
+
+def _log_odds(model: Model, pattern: tuple[int, ...]) -> float:
+    return math.log(model.prior / (1 - model.prior)) + sum(model.odds(i, v) for i, v in enumerate(pattern))
+
 
+def _log_probability(model: Model, patterns: dict[tuple[int, ...], int], total: int) -> float:
+    """Of the votes and of the model under the prior beliefs, but for a constant."""
+    found = total * (GOOD * math.log(model.prior) + (1 - GOOD) * math.log(1 - model.prior))
+    found += sum(total * (FALSE_ALARM * math.log(p) + (1 - FALSE_ALARM) * math.log(1 - p)) for p, _ in model.rates)
+    for pattern, n in patterns.items():
+        sides = [math.log(model.prior), math.log(1 - model.prior)]
+        for (p, q), v in zip(model.rates, pattern):
+            if v:
+                sides = [sides[0] + math.log(p if v < 0 else 1 - p), sides[1] + math.log(q if v < 0 else 1 - q)]
+        found += n * (max(sides) + math.log1p(math.exp(min(sides) - max(sides))))
+    return found
 
-def fit(patterns: DataFrame, names: list[str], iterations: int = 25, smooth: float = 1.0) -> Model:
-    """Fit on ``patterns`` (a column per rule, and ``n``). The first guess of the class is that no rule votes bad.
 
-    A rule is taken to be better than chance: its bad vote speaks against a document with odds of 2 at least, its good vote
-    never does. An empty table gives the smoothed prior alone.
+def _maximised(patterns: dict[tuple[int, ...], int], good: dict[tuple[int, ...], float], rules: int) -> Model:
+    """The most probable model, given each pattern's probability of the good class."""
+    total = sum(patterns.values())
+    prior = (sum(good[v] * n for v, n in patterns.items()) + 1 + total * GOOD) / (2 * total + 2)
+    rates = []
+    for i in range(rules):
+        votes_by = {(side, vote): sum((good[v] if side else 1 - good[v]) * n for v, n in patterns.items() if v[i] == vote) for side in (0, 1) for vote in (-1, 1)}
+        p = (votes_by[1, -1] + 1e-3 + total * FALSE_ALARM) / (votes_by[1, -1] + votes_by[1, 1] + 2e-3 + total)
+        q = (votes_by[0, -1] + 1) / (votes_by[0, -1] + votes_by[0, 1] + 2)
+        # A bad vote is taken to be better than chance.
+        rates.append((p, max(q, min(BETTER * p, (1 + p) / 2))))
+    return Model(prior, rates)
+
+
+def fit(patterns: dict[tuple[int, ...], int], rules: int, iterations: int = 200, close: float = 1e-6) -> Model:
+    """Fit on the number of documents by votes, from three first guesses of what is bad.
+
+    No documents give a prior of one half and rules of no use. Of models that are equally probable, that of the earlier guess
+    is taken.
     """
-    any_bad = F.greatest(*(F.when(F.col(c) == -1, 1).otherwise(0) for c in names)) == 1 if len(names) > 1 else F.col(names[0]) == -1
-    good = F.when(any_bad, F.lit(0.1)).otherwise(F.lit(0.95))
-    model = None
-    for _ in range(iterations):
-        sums = [F.sum(good * F.col("n")).alias("g"), F.sum((1 - good) * F.col("n")).alias("b")]
-        for i, name in enumerate(names):
-            for v in (-1, 1):
-                here = (F.col(name) == v).cast("double") * F.col("n")
-                sums += [F.sum(good * here).alias(f"g{i}_{v}"), F.sum((1 - good) * here).alias(f"b{i}_{v}")]
-        row = patterns.agg(*sums).first()
-        g, b, odds = row["g"] or 0.0, row["b"] or 0.0, []
-        for i in range(len(names)):
-            rate = lambda side, total: {v: ((row[f"{side}{i}_{v}"] or 0.0) + smooth) / (total + 3 * smooth) for v in (-1, 1)}  # noqa: B023, E731
-            p, q = rate("g", g), rate("b", b)
-            p[0], q[0] = 1 - p[-1] - p[1], 1 - q[-1] - q[1]
-            found = {v: math.log(p[v] / q[v]) for v in (-1, 0, 1)}
-            odds.append({-1: min(found[-1], -BETTER), 0: found[0], 1: max(found[1], 0.0)})
-        model, before = Model((g + smooth) / (g + b + 2 * smooth), odds), model
-        good = model.posterior(names)
-        if before and max(abs(x[v] - y[v]) for x, y in zip(odds, before.odds) for v in x) < 1e-4:
-            break
-    return model
+    guesses = (lambda v: -1 in v, lambda v: v.count(-1) >= 2, lambda v: sum(v) <= 0)
+    total, found = sum(patterns.values()), []
+    for bad in guesses:
+        good = {v: 0.1 if bad(v) else 0.95 for v in patterns}
+        for _ in range(iterations):
+            model, before = _maximised(patterns, good, rules), good
+            good = {v: 1 / (1 + math.exp(-_log_odds(model, v))) for v in patterns}
+            if all(abs(good[v] - before[v]) < close for v in patterns):
+                break
+        found.append((_log_probability(model, patterns, total), model))
+    return max(found, key=lambda x: round(x[0], 3))[1]
 
 
 def judge(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -131,12 +169,15 @@ def judge(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     ``kept`` is false where the base fails and else whether ``quality`` reaches ``threshold``. Repeated rows count as often
     as they occur. The model is fitted on the documents that pass the base, since the others are decided; they get a
-    posterior all the same. An empty table stays empty.
+    posterior all the same. ``measured`` is written once, so that the measures are not made again for the votes; columns of
+    these names give way. An empty table stays empty.
     """
     names = [f"_vote_{k}" for k in votes()]
+    measured = stage(measured.drop("quality", "base_failed", "kept"), "rule-measures")
     voted = measured.select("*", *(v.alias(n) for n, v in zip(names, votes().values())))
-    patterns = stage(voted.where(~failed(measured)).groupBy(*names).agg(F.count("*").alias("n")), "rule-patterns")
-    model = fit(patterns, names)
+    # At most 3 ** r rows, whatever the number of documents.
+    patterns = {tuple(row[name] for name in names): row["n"] for row in voted.where(~failed(measured)).groupBy(*names).agg(F.count("*").alias("n")).collect()}
+    model = fit(patterns, len(names))
     out = voted.withColumn("quality", model.posterior(names)).withColumn("base_failed", failed(measured))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)).drop(*names)
 
@@ -144,5 +185,5 @@ def judge(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
 @query("op4_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures, the base verdict and the posterior verdict of every document."""
-    measured = stage(measures(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "rule-measures")
+    measured = measures(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
