@@ -195,7 +195,7 @@ def dq_run(spark: SparkSession, sf_dir: str) -> DataFrame:
       UNION ALL SELECT 'trips', 'payment', CAST(payment_type AS VARCHAR) FROM trips_raw WHERE payment_type NOT IN (1)
       UNION ALL SELECT 'readings', 'parameter', parameter FROM readings_raw WHERE parameter NOT IN ('no2')
       UNION ALL SELECT 'readings', 'hour', CAST(hour_utc AS VARCHAR) FROM readings_raw WHERE hour_utc > 5)
-    GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY table_name, label ORDER BY times DESC, value) <= 5""",
+    GROUP BY table_name, label, value QUALIFY row_number() OVER (PARTITION BY table_name, label ORDER BY times DESC, value) <= 5""",
     b.TRIPS_RAW,
     b.READINGS_RAW,
 )
