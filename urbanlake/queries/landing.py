@@ -123,7 +123,7 @@ def scan_existing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _archive_columns(reduce(DataFrame.union, [archive_index.read_files(spark, root, some) for some in archive_index.slices(found)]))
 
 
-# The readings over three months, by the day of the month.
+# The readings over four months, by the day of the month.
 _SPREAD = """spread AS (
   SELECT *, month(moved) AS month, strftime(moved, '%Y-%m') AS key FROM (
     SELECT *, ts_utc + to_months(CAST(day(ts_utc) // 10 AS INTEGER)) AS moved FROM readings_raw))"""
@@ -131,7 +131,7 @@ _BAD = (3, 2)
 
 
 def damaged_archive(spark: SparkSession, sf_dir: str) -> str:
-    """An archive of three months, in which the folder of one location and month holds what no reader can unpack."""
+    """An archive of four months, in which the folder of one location and month holds what no reader can unpack."""
     moved = b.readings_raw(spark, sf_dir).withColumn("ts_utc", F.expr("ts_utc + make_ym_interval(0, CAST(day(ts_utc) div 10 AS INT))"))
     raw = _archive_rows(moved)
     bad = (F.col("locationid") == _BAD[0]) & (F.col("month") == _BAD[1])
@@ -184,7 +184,7 @@ def scan_archive_health(spark: SparkSession, sf_dir: str) -> DataFrame:
         ELSE count(DISTINCT (sensor_id, location_id, parameter, units, date_trunc('hour', moved))) END AS rows_written,
       CASE WHEN bool_or(location_id = {_BAD[0]} AND month = {_BAD[1]}) THEN 'failed' ELSE 'succeeded' END AS new_status
     FROM spread GROUP BY key
-    UNION ALL SELECT 's3_archive', '1998-04', 0, 'succeeded'""",
+    UNION ALL SELECT 's3_archive', '1998-05', 0, 'succeeded'""",
     b.READINGS_RAW,
     _SPREAD,
 )
@@ -196,7 +196,7 @@ def archive_load_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sensor_id", (F.col("sensor_id") % 5 + 1).alias("location_id"), F.lit("no2").alias("p_name"),
         null.alias("first_datetime_utc"), null.alias("last_datetime_utc"), F.lit("2024-01-01").cast("timestamp").alias("loaded_at"),
     )
-    keys = ["1998-01", "1998-02", "1998-03", "1998-04"]
+    keys = ["1998-01", "1998-02", "1998-03", "1998-04", "1998-05"]
     results = jobs.load_archive_months(spark, root, sensors, keys, scratch_path(spark, "archive-bronze"), datetime(2024, 1, 1))
     return results.drop("message")
 
