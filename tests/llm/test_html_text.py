@@ -66,6 +66,46 @@ def test_page_without_semantic_markup(spark):
     ]
 
 
+ARTICLES = [
+    ("<article><p class=legal>The law says so, in a long sentence.</p><p class='side'>On the other side, it does not.</p><p>Plain paragraph, as long as the others.</p></article>",
+     "The law says so, in a long sentence.\nOn the other side, it does not.\nPlain paragraph, as long as the others."),
+    ("<article class='post social'><p>A post about the social life of cats, at length.</p></article>", "A post about the social life of cats, at length."),
+    ("<article><p title=don't>Text after an attribute, which has a quote.</p><p>More of the same text.</p></article>", "Text after an attribute, which has a quote.\nMore of the same text."),
+    ("<article><p>Of <math><mi>x</mi><mo>=</mo><mn>1</mn></math> it is said, that <object data=a>it holds</object>.</p><xmp><b>kept</b> &amp; as it is.</xmp></article>",
+     "Of x=1 it is said, that it holds.\n<b>kept</b> &amp; as it is."),
+    ("<main><h1>Title</h1><p>First, some text.</p><div class='share social'><a href=x>Share it</a></div><div class=ad>Buy this now, it is cheap.</div>"
+     "<section id=comments><article class=comment><p>I do not agree with what is said here, at all.</p></article></section></main>", "Title\nFirst, some text."),
+]
+
+
+def test_articles_lose_nothing_by_their_class_words(spark):
+    for model in (ht.train(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")), ht.fit([])):
+        for page, text in ARTICLES:
+            assert ht.main_text(f"<html><body><nav><a href=/>Home</a></nav>{page}<footer>End</footer></body></html>", model) == text
+
+
+def test_given_pages_do_not_need_the_words(monkeypatch):
+    monkeypatch.setattr(ht, "STRONG_WORDS", set())
+    monkeypatch.setattr(ht, "WEAK_WORDS", set())
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist()
+    model = ht.fit(pages)
+    assert all(ht.main_text(p, model) == plain(p) for p in pages)
+
+
+def test_pages_move_the_weights():
+    """Where pages call the parts of their articles by a word, the word loses its weight."""
+    page = "<body><div class=top>x</div><article><div class=legal><p>Text, and more of it, which is long enough.</p></div><p>And so on, and so on.</p></article>"
+    model = ht.fit([page] * 20)
+    assert model.weights[ht.FEATURES.index("weak_box")] > ht.PRIOR["weak_box"] + 1
+    assert ht.main_text(page, model).count("\n") == 1
+
+
+def test_many_open_quotes_take_linear_time():
+    ht.main_text('<a x="' * 200_000 + "<p title='" * 100_000 + "<b " * 100_000, ht.fit([]))
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, "<p"), (4, "<div>" * 3000 + "x"), (5, "no markup at all"), (None, OTHER), (6, "<article>" + "<p>long, text. " * 20000)]
     df = spark.createDataFrame(rows + rows[:1], "page_id long, html string").withColumn("text", F.lit("own"))

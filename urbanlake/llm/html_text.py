@@ -8,7 +8,8 @@ is above one half.
 
 The weights are fitted by gradient steps on the likelihood of labelled pages, whose gradient is the difference of observed
 and expected features under the marginals. They are drawn towards prior weights, so that features which no labelled page
-shows (a cookie notice, reader comments) keep their meaning. Labels come from pages with semantic markup: what stands in an
+shows (a cookie notice, reader comments) keep their meaning; words of class and id are evidence that the text and the
+neighbours of a node can outweigh. Labels come from pages with semantic markup: what stands in an
 ``article`` or ``main`` element and in none of ``BOILER`` is content. Training reads at most ``TRAIN_PAGES`` pages, those with
 the least hash of their id.
 """
@@ -26,29 +27,39 @@ from pyspark.sql import functions as F
 from urbanlake.llm.common import query, table
 
 TRAIN_PAGES = 200
+#: Longer pages are not trained on, so that the sample is bounded in bytes too.
+TRAIN_BYTES = 1 << 18
 STEPS = 25
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?][^>]*>", re.S)
+#: Quotes bind an attribute's value only right after its equals sign; elsewhere they are characters like others.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 
-RAW = {"script", "style", "template", "noscript", "svg", "iframe", "object", "title", "textarea", "select", "math", "xmp"}
+RAW = {"script", "style", "template", "noscript", "svg", "iframe", "title", "textarea", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output q s samp small span strike strong sub sup time tt u var".split())
+#: Formulas and embedded objects stand in a line of text; what they hold is read as text.
+INLINE |= set("object math annotation maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 CLOSES_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 PEERS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 BOILER = {"nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "head"}
 GOOD = {"article", "main"}
 TEXTUAL = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "li", "td", "dd", "figcaption"}
-BAD_WORDS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navigation navbar menu breadcrumb breadcrumbs sidebar side aside footer header masthead comment comments discussion disqus replies reply respond cookie cookies consent notice notices alert popup modal overlay share sharing social related recommended newsletter subscribe subscription signup login search form widget pagination pager toolbar copyright legal".split())
+#: Words of class and id that name what is no article, and words that often do but may name a part of one as well.
+STRONG_WORDS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navigation navbar menu breadcrumb breadcrumbs sidebar masthead comment comments discussion disqus replies cookie cookies consent popup modal overlay sharing newsletter subscribe subscription signup login pagination pager toolbar".split())
+WEAK_WORDS = set("side aside footer header reply respond notice notices alert share social related recommended search form widget copyright legal".split())
 GOOD_WORDS = set("article articlebody content body post entry story main text blog".split())
 
 #: Prior weights, by feature.
-PRIOR = {"bias": -1.0, "good_tag": 4.0, "boiler_tag": -6.0, "bad_word": -6.0, "good_word": 2.0, "textual": 0.5, "some_text": 0.3, "long_text": 1.0, "links": -2.0, "stops": 0.7, "heading": 0.3, "list": -0.3}
+PRIOR = {
+    "bias": -1.0, "good_tag": 8.0, "boiler_tag": -6.0, "strong_word": -5.0, "good_word": 2.0, "textual": 0.5, "some_text": 0.3,
+    "long_text": 1.0, "links": -2.0, "stops": 0.7, "heading": 0.3, "list": -0.3, "weak_box": -3.5, "weak_text": -0.5,
+}
 FEATURES = list(PRIOR)
-#: Prior log-potentials of (parent, child) labels: 0 other, 1 content.
-EDGES = [[1.0, -1.0], [-1.5, 1.5]]
+#: Prior log-potentials of (parent, child) labels: 0 other, 1 content. An advert in an article says little against it.
+EDGES = [[1.0, -1.0], [-0.2, 1.5]]
 
 
 class Page:
@@ -78,6 +89,12 @@ class Page:
                         del stack[depth:]
                         links = 0
                 continue
+            if name == "xmp":
+                # Its text is no markup, whatever it looks like.
+                end = re.compile(r"</xmp\s*>", re.I).search(source, at)
+                self._open("xmp", stack, ""), self._text(html.escape(source[at : end.start() if end else len(source)]), stack.pop()[1], True, 0)
+                fresh, at = True, end.end() if end else len(source)
+                continue
             if name in RAW:
                 end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
                 at = end.end() if end else len(source)
@@ -96,15 +113,18 @@ class Page:
             if name in PEERS:
                 self._close(stack, PEERS[name], SCOPE.get(name, set()))
             fresh, links = True, 0
-            words = set()
-            for a, b, c in ATTRIBUTE.findall(m[3] or ""):
-                words.update(WORD.findall((a or b or c).lower()))
-            self.tags.append(name), self.parent.append(stack[-1][1]), self.words.append(words)
-            self.size.append(0), self.linked.append(0)
-            stack.append((name, len(self.tags) - 1))
+            self._open(name, stack, m[3] or "")
         if at < len(source):
             self._text(source[at:], stack[-1][1], fresh, links)
 
+    def _open(self, name: str, stack: list, attributes: str) -> None:
+        words = set()
+        for a, b, c in ATTRIBUTE.findall(attributes):
+            words.update(WORD.findall((a or b or c).lower()))
+        self.tags.append(name), self.parent.append(stack[-1][1]), self.words.append(words)
+        self.size.append(0), self.linked.append(0)
+        stack.append((name, len(self.tags) - 1))
+
     @staticmethod
     def _close(stack: list, names: set, scope: set) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -135,14 +155,17 @@ class Page:
         out = []
         for i, tag in enumerate(self.tags):
             own = [0]
-            if tag in GOOD:
+            # A comment may be an article of its own, and says so.
+            if tag in GOOD and not self.words[i] & STRONG_WORDS:
                 own.append(1)
             if tag in BOILER:
                 own.append(2)
             if self.words[i]:
-                if self.words[i] & BAD_WORDS:
+                if self.words[i] & STRONG_WORDS:
                     own.append(3)
-                elif self.words[i] & GOOD_WORDS:
+                elif self.words[i] & WEAK_WORDS and tag not in GOOD:
+                    own.append(13 if tag in TEXTUAL else 12)
+                if self.words[i] & GOOD_WORDS:
                     own.append(4)
             if tag in TEXTUAL:
                 own.append(5)
@@ -169,8 +192,8 @@ class Page:
         out = [0] * len(self.tags)
         for i in range(1, len(self.tags)):
             tag = self.tags[i]
-            dropped = tag in BOILER or bool(self.words[i] & BAD_WORDS)
-            out[i] = int(not dropped and (tag in GOOD or out[self.parent[i]] == 1))
+            # The words of class and id take no part, so that they are weighed by the pages and not by themselves.
+            out[i] = int(tag not in BOILER and (tag in GOOD or out[self.parent[i]] == 1))
         return out
 
 
@@ -227,8 +250,9 @@ class Model:
         return [x > 0 for x in marginals(page.parent, score, self.edges)[0]]
 
 
-def fit(sources: list[str], steps: int = STEPS, rate: float = 0.5, strength: float = 0.02) -> Model:
-    """Fit on the pages with semantic markup; without any, the prior stands."""
+def fit(sources: list[str], steps: int = STEPS, rate: float = 0.5, strength: float = 0.02, edge_strength: float = 0.3) -> Model:
+    """Fit on the pages with semantic markup; without any, the prior stands. Four edge potentials, which all nodes of all
+    pages pull at, are held more firmly than the weights of features."""
     pages = [(p, y) for p in map(Page, sources) if (y := p.labels())]
     weights, edges = [PRIOR[f] for f in FEATURES], [list(r) for r in EDGES]
     known = [(p.parent, p.features(), y) for p, y in pages]
@@ -252,7 +276,7 @@ def fit(sources: list[str], steps: int = STEPS, rate: float = 0.5, strength: flo
             weights[f] += rate * (10 * slope[f] / nodes - strength * (weights[f] - PRIOR[name]))
         for a in (0, 1):
             for b in (0, 1):
-                edges[a][b] += rate * (10 * joint[a][b] / nodes - strength * (edges[a][b] - EDGES[a][b]))
+                edges[a][b] += rate * (10 * joint[a][b] / nodes - edge_strength * (edges[a][b] - EDGES[a][b]))
     return Model(weights, edges)
 
 
@@ -265,7 +289,8 @@ def main_text(source: str | None, model: Model) -> str:
 
 
 def train(pages: DataFrame, key: str = "page_id", source: str = "html", rows: int = TRAIN_PAGES) -> Model:
-    """A model from at most ``rows`` pages, those with the least hash of their id and markup."""
+    """A model from at most ``rows`` pages of at most ``TRAIN_BYTES``, those with the least hash of their id and markup."""
+    pages = pages.where(F.octet_length(source) <= TRAIN_BYTES)
     ids = pages.where(F.col(source).isNotNull()).select(F.col(key).alias("id"), F.xxhash64(F.lit("train"), key, source).alias("h"))
     few = [r.h for r in ids.distinct().orderBy("h").limit(rows).collect()]
     found = pages.where(F.xxhash64(F.lit("train"), key, source).isin(few)).select(source).distinct().collect()
