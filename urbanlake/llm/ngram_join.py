@@ -22,8 +22,8 @@ pair across components could link, the set is held against the other component b
 In a chunk, the overlap with the first set is counted, and those with the others follow from it by their differences to the
 first. Together the rounds decide every pair that shares a prefix shingle.
 
-Sets are made anew from the texts of one member of each class that stands in a list with another; these texts are shuffled
-once. No group emits all its pairs: the first round emits at most ``NEXT`` per entry, the second one row per set and chunk.
+Sets are made anew from the texts of one member of each class that stands in a list with another; these texts are kept
+compressed from the first scan, by the number of their row, and shuffled once. No group emits all its pairs: the first round emits at most ``NEXT`` per entry, the second one row per set and chunk.
 Lists are shuffled once, as packed records in buckets by the shingle's hash; entries that are alone in their list, which is
 most, go no further.
 """
@@ -50,8 +50,8 @@ SHARE = 50
 
 POSTING = np.dtype([("token", "<u8"), ("class_a", "<u8"), ("class_b", "<u4"), ("size", "<u4"), ("at", "<u4")])
 CLASS = np.dtype([("a", "<u8"), ("b", "<u4")])
-SCAN = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("token", pa.int64()), ("times", pa.int64())])
-SCAN_DDL = "doc_id long, size long, set_a long, set_b long, token long, times long"
+SCAN = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("packed", pa.binary()), ("token", pa.int64()), ("times", pa.int64())])
+SCAN_DDL = "row long, doc_id long, size long, set_a long, set_b long, packed binary, token long, times long"
 MULTIPLIERS = V.mix(np.arange(101, 165, dtype=np.uint64))
 
 
@@ -94,13 +94,15 @@ def _sets(column, n: int):
 
 
 def scan(docs: DataFrame, n: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document (``doc_id, size, set_a, set_b``), and rows ``token, times`` for what is frequent in a batch."""
+    """One row per document (``row, doc_id, size, set_a, set_b``, and its compressed text where it has a set), and rows
+    ``token, times`` for what is frequent in a batch. Rows are numbered, since ids may be missing or shared."""
 
     def read(batches):
+        tool = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sizes, digests, every = [], [], []
+            sizes, digests, every, texts = [], [], [], batch.column("text")
             for _, s in _sets(batch.column("text"), n):
                 sizes.append(len(s))
                 digests.append(digest(s))
@@ -110,12 +112,14 @@ def scan(docs: DataFrame, n: int = 4, key: str = "doc_id", text: str = "text") -
             first = {d: i for i, d in reversed(list(enumerate(digests)))}
             tokens, times = np.unique(np.concatenate([every[i] for i in first.values()]), return_counts=True)
             tokens, times = tokens[times >= OFTEN].view(np.int64), times[times >= OFTEN]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "size": sizes, "set_a": [d[0] for d in digests], "set_b": [d[1] for d in digests], "token": pa.nulls(m, pa.int64()), "times": pa.nulls(m, pa.int64())}, schema=SCAN)
+            packed = pa.array([tool.compress(texts[i].as_buffer()) if size else None for i, size in enumerate(sizes)], pa.binary())
+            yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "doc_id": batch.column("doc_id"), "size": sizes, "set_a": [d[0] for d in digests], "set_b": [d[1] for d in digests], "packed": packed, "token": pa.nulls(m, pa.int64()), "times": pa.nulls(m, pa.int64())}, schema=SCAN)
             k = len(tokens)
             if k:
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(k, pa.int64()), "size": pa.nulls(k, pa.int64()), "set_a": pa.nulls(k, pa.int64()), "set_b": pa.nulls(k, pa.int64()), "token": tokens, "times": times}, schema=SCAN)
+                nothing = {c: pa.nulls(k, SCAN.field(c).type) for c in SCAN.names[:6]}
+                yield pa.RecordBatch.from_pydict({**nothing, "token": tokens, "times": times}, schema=SCAN)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(read, SCAN_DDL)
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(read, SCAN_DDL)
 
 
 def least_overlap(total, percent: int):
@@ -338,21 +342,10 @@ def _beside(rec: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate([[False], near]) | np.concatenate([near, [False]]) if len(rec) else np.zeros(0, bool)
 
 
-def member_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """``set_a, set_b, packed``: the compressed text of one member of each wanted class."""
-    wanted = wanted.join(classes.select("set_a", "set_b", F.col("doc_id").alias("_id")), ["set_a", "set_b"]).hint("merge")
-
-    def shrink(batches):
-        tool = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            a, b = np.asarray(batch.column("set_a")), np.asarray(batch.column("set_b"))
-            # Of rows that share an id, the one with the class's own set counts.
-            good = [i for i, s in _sets(batch.column("text"), n) if digest(s) == (a[i], b[i])]
-            texts = batch.column("text")
-            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good]), pa.array([tool.compress(texts[i].as_buffer()) for i in good], pa.binary())], names=["set_a", "set_b", "packed"])
-
-    texts = docs.where("text is not null").join(wanted, F.coalesce("doc_id", F.lit(-1)) == F.coalesce("_id", F.lit(-1))).select("set_a", "set_b", "text")
-    return texts.mapInArrow(shrink, "set_a long, set_b long, packed binary").dropDuplicates(["set_a", "set_b"])
+def member_texts(wanted: DataFrame, classes: DataFrame, scanned: DataFrame) -> DataFrame:
+    """``set_a, set_b, packed``: the compressed text of the row that stands for each wanted class."""
+    rows = wanted.join(classes.select("set_a", "set_b", "row"), ["set_a", "set_b"])
+    return scanned.where("token is null").select("row", "packed").join(rows.hint("merge"), "row").select("set_a", "set_b", "packed")
 
 
 def _unpack(column) -> pa.Array:
@@ -449,18 +442,20 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     frequent = np.zeros(found.num_rows, np.dtype([("token", "<u8"), ("times", "<i8")]))
     frequent["token"], frequent["times"] = np.asarray(found.column("token")).view(np.uint64), np.asarray(found.column("times"))
     frequent.sort(order="token")
-    rows = scanned.where("token is null").select("doc_id", "size", "set_a", "set_b")
-    classes = stage(rows.where("size > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("members")), "join-classes")
+    rows = scanned.where("token is null").select("row", "doc_id", "size", "set_a", "set_b")
+    classes = stage(rows.where("size > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row")), "join-classes")
 
     kept = stage(lists(postings(docs, frequent, percent, n), percent), "join-lists")
     kept = stage(thinned(kept, _members(kept), percent), "join-lists")
-    texts = stage(member_texts(_members(kept).select("set_a", "set_b").distinct(), classes, docs, n), "join-texts")
-    node = F.xxhash64("set_a", "set_b")
-    number = classes.select("set_a", "set_b", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("low"), node.alias("node"))
+    texts = stage(member_texts(_members(kept).select("set_a", "set_b").distinct(), classes, scanned), "join-texts")
+    number = classes.select("set_a", "set_b", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("low"), F.col("row").alias("node"))
+
+    def ends(one: str, two: str, name: str) -> DataFrame:
+        return number.select(F.col("set_a").alias(one), F.col("set_b").alias(two), F.col("node").alias(name))
 
     def labelled(links: DataFrame) -> DataFrame:
-        """Components of all classes: ``set_a, set_b, low, component, members``; a class's node is a hash of its digest."""
-        parts = components(links.select(F.xxhash64("a1", "a2").alias("a"), F.xxhash64("b1", "b2").alias("b")))
+        """Components of all classes: ``set_a, set_b, low, component, members``; a class's node is the number of its row."""
+        parts = components(links.join(ends("a1", "a2", "a"), ["a1", "a2"]).join(ends("b1", "b2", "b"), ["b1", "b2"]).select("a", "b"))
         every = stage(number.join(parts, "node", "left").select("set_a", "set_b", "low", F.coalesce("component", "node").alias("component")), "join-components")
         sizes = every.groupBy("component").agg(F.count("*").alias("members")).where("members > 1")
         return every.join(sizes, "component", "left").select("set_a", "set_b", "low", "component", F.coalesce("members", F.lit(1)).alias("members"))
