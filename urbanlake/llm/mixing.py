@@ -101,6 +101,8 @@ def mix(docs: DataFrame, target_entropy: float | None = None, max_repetition: fl
 
 
 def realise(docs: DataFrame, plan: DataFrame, seed: str, block_tokens: int, key: str, source: str) -> DataFrame:
+    """The readings of ``docs`` under ``plan`` (``weights``); see ``mix`` for columns, repeated rows, ids and empty tables."""
+
     def order(*parts: Column) -> Column:
         return F.md5(F.concat_ws(":", F.lit(seed), *parts))
 
@@ -112,7 +114,8 @@ def realise(docs: DataFrame, plan: DataFrame, seed: str, block_tokens: int, key:
         F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)).cast("long").alias("_blocks"),
     )
     dealt = docs.select(*own).join(quota, F.col(source).eqNullSafe(F.col("_source")))
-    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    # With a hash of the row, so that rows without an id, or with one id, are dealt to many blocks.
+    name = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.xxhash64(*own).cast("string"))
     spot = F.conv(F.substring(order(F.lit("block"), name), 1, 15), 16, 10).cast("long")
     dealt = dealt.withColumn("block", F.pmod(spot, F.col("_blocks")))
 

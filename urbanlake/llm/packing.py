@@ -148,8 +148,8 @@ def pack(cut_: DataFrame, documents: int, limit: int = LIMIT) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id", "ids_crc32"), F.lit(blocks)).alias("block")
     part = cut_.where(F.col("length") < limit).select(block, *PLACED.names[:5])
     packed = part.groupBy("block").applyInArrow(place, PLACED_DDL)
-    # A full piece needs no bin. Its sequence has a negative id, from its document's hash and its number.
-    own = -1 - F.shiftrightunsigned(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), 1)
+    # A full piece needs no bin. Its sequence has a negative id, from the number of its row: pieces are stored.
+    own = -1 - F.monotonically_increasing_id()
     full = cut_.where(F.col("length") == limit).select(*PLACED.names[:5], own.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return packed.union(full)
 
