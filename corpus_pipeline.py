@@ -33,15 +33,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A null id counts as larger than all, and ties go by a hash of the text. Texts without words are in no component and
     all stay.
     """
-    docs = docs.select(*COLUMNS)
+    # Rows are numbered, so that no two can be taken for one; the numbers are stored with them.
+    keyed = stage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_key")), "pipeline-rows")
     worded = text_of().rlike(WORD)
-    # Rows of the same id and text are copies; a 64-bit hash of both stands for them, and for the component as well.
-    keyed = docs.where(worded).withColumn("_key", F.xxhash64("doc_id", "text"))
-    groups = ngram_join.join(keyed.select("_key", "text"), n=5, percent=80, key="_key").select(F.col("doc_id").alias("_key"), "component_id").distinct()
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("first")
-    firsts = keyed.select("_key", "doc_id").distinct().join(groups, "_key").groupBy("component_id").agg(first).select(F.col("first._key").alias("_key"))
-    kept = keyed.dropDuplicates(["_key"]).join(firsts, "_key", "left_semi")
-    return kept.select(*COLUMNS).union(docs.where(~worded))
+    groups = ngram_join.join(keyed.where(worded).select("_key", "text"), n=5, percent=80, key="_key").select(F.col("doc_id").alias("_key"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("tie"), "_key")).alias("first")
+    firsts = keyed.where(worded).join(groups, "_key").groupBy("component_id").agg(first).select(F.col("first._key").alias("_key"))
+    kept = keyed.where(worded).join(firsts, "_key", "left_semi")
+    return kept.select(*COLUMNS).union(keyed.where(~worded).select(*COLUMNS))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,13 +54,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The budget reads the largest source once and the others up to ``MAX_REPETITION`` times, so none loses a document.
     """
-    # Rows that are equal in all columns stand for each other, so their readings are counted together.
-    keyed = docs.select(*COLUMNS, F.xxhash64(*COLUMNS, *(F.col(c).isNull() for c in COLUMNS)).alias("_key"))
-    narrow = stage(keyed.select("_key", "source", mixing.word_count().alias("n_tokens")), "mix-tokens")
-    read = mixing.mix(narrow, max_repetition=MAX_REPETITION, key="_key").groupBy("_key").agg(F.count("*").alias("_times"))
-    rows = keyed.groupBy("_key").agg(*(F.first(c).alias(c) for c in COLUMNS), F.count("*").alias("_rows"))
-    times = F.sequence(F.lit(1), F.greatest("_times", "_rows").cast("int"))
-    return rows.join(read, "_key", "left").select(*COLUMNS, F.explode(times).alias("_time")).select(*COLUMNS)
+    # Rows are numbered, so that each is a document of its own; the numbers are stored with them.
+    keyed = stage(docs.select(*COLUMNS, mixing.word_count().alias("n_tokens"), F.monotonically_increasing_id().alias("_key")), "mix-rows")
+    read = mixing.mix(keyed.select("_key", "source", "n_tokens"), max_repetition=MAX_REPETITION, key="_key").groupBy("_key").agg(F.count("*").alias("_times"))
+    times = F.sequence(F.lit(1), F.greatest(F.coalesce("_times", F.lit(1)), F.lit(1)).cast("int"))
+    return keyed.join(read, "_key", "left").select(*COLUMNS, F.explode(times).alias("_time")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
