@@ -162,7 +162,8 @@ FROM placed WHERE page_id % 613 = 0 OR page_id % 401 = 0 OR page_id % 509 = 0
 @query("op5_fixity_audit", _SQL)
 def fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records in two replicas, one with faults: the records that the audit finds."""
-    left = archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    # Written once: both replicas and the ids read the records from there, so they are shuffled once.
+    left = stage(archives(table(spark, sf_dir, "pages").select("page_id", "url", "html")), "fixity-records")
     found = audit(left.select(*KEYS, "record"), damaged(left).select(*KEYS, "record"))
     ids = left.select("page_id", *KEYS)
     return found.join(ids, KEYS).select("page_id", *KEYS, "left_length", "right_length", "finding")
