@@ -5,7 +5,7 @@ import pytest
 
 from tests.conftest import rows
 from urbanlake.functions.dates import date_dimension
-from urbanlake.operators import dims, export, joins, quality, reports
+from urbanlake.operators import dims, export, joins, measures, quality, reports
 from urbanlake.operators.measures import measure
 
 TAXI = (
@@ -77,6 +77,35 @@ def test_unrelated_dimension_repeats_the_value(model):
     assert got == [(1, 2023, 400.0 / 0.375), (2, 2023, None), (2, 2024, None), (3, 2023, None)]
 
 
+def test_repeated_values_are_bounded(model, monkeypatch):
+    monkeypatch.setattr(measures, "MOST_REPEATED", 2)
+    assert len(rows(measure("avg_pollution", model, ["dm_payment.payment_type"], {"dm_payment.id": [1, 2]}))) == 2
+    with pytest.raises(Exception, match="more than 2 values"):
+        measure("avg_pollution", model, ["dm_payment.payment_type"]).collect()
+    with pytest.raises(ValueError, match="one such dimension"):
+        measure("avg_pollution", model, ["dm_payment.payment_type", "dm_currency.currency_name"])
+
+
+def test_rows_of_unknown_parameters_keep_a_column(spark, model):
+    air = model["fct_air_quality"].unionByName(spark.createDataFrame([(1, 20230103, None, 5.0, 9), (1, 20230103, 99, 5.0, 4)], model["fct_air_quality"].schema))
+    matrix = {r.zone_id: r for r in reports.report("coverage_matrix", {**model, "fct_air_quality": air}).collect()}
+    assert matrix[1][reports.UNKNOWN] == 13 and matrix[3][reports.UNKNOWN] is None and matrix[1].pm25 == 4
+
+
+def test_what_relationships_find(spark, model):
+    related = {"dm_date": ("date_key", "date_key"), "dm_currency": ("id_cur_from", "id"), "dm_currency:to": ("id_cur_to", "id")}
+    got = joins.relationship_counts("fx", model["fct_fx_daily"], model, related)
+    assert rows(got) == sorted([("fx", "dm_date", "date_key", 4, 0), ("fx", "dm_currency", "id_cur_from", 3, 1), ("fx", "dm_currency", "id_cur_to", 4, 0)], key=repr)
+
+
+def test_most_frequent_bad_values(spark):
+    df = spark.createDataFrame([(x,) for x in [7, 7, 8, 8, 9, 1, None, None]], "n int")
+    checks = [quality.between("n", "n", 1, 6), quality.not_null("n not null", "n"), quality.in_set("n in set", "n", [1, 7, 8, 9])]
+    got = {r.label: r.unexpected_values for r in quality.dq_run(df, "t", checks, top=2).collect()}
+    assert got["n"] == [("7", 2), ("8", 2)] and got["n not null"] is None and got["n in set"] == []
+    assert "unexpected_values" not in quality.dq_run(df, "t", checks).columns
+
+
 def test_gdp_is_filtered_not_multiplied(model):
     assert rows(measure("gdp_usd", model, ["dm_date.year"])) == [(2022, 4.0), (2023, 5.0)]
     by_month = rows(measure("gdp_usd", model, ["dm_date.year_month"], {"dm_date.year": [2023]}))

@@ -124,3 +124,15 @@ def test_remap_of_the_short_last_chunk(spark):
     df = spark.createDataFrame([(last,)], "t timestamp_ntz")
     got = df.select(dates.remap("t", (last, datetime(2025, 1, 1)), start, now)).first()[0]
     assert got == datetime(2025, 6, 1, 10) - timedelta(days=7 * 104 + 3)
+
+
+def test_increment_prunes_older_years(spark, scratch):
+    data = [("a", date(y, m, 1), float(y + m)) for y in (2020, 2021, 2022) for m in (1, 7)]
+    filled = timeseries.fill_gaps(spark.createDataFrame(data, "k string, d date, v double"), ["k"], "d")
+    filled.withColumn("y", F.year("d")).write.partitionBy("y").parquet(scratch + "/s")
+    silver = spark.read.parquet(scratch + "/s")
+    batch = spark.createDataFrame([("a", date(2022, 7, 5), 9.0), ("b", date(2022, 6, 30), 1.0)], "k string, d date, v double")
+    got = timeseries.fill_increment(silver, batch, ["k"], "d", "y")
+    assert rows(got) == rows(timeseries.fill_increment(silver.drop("y"), batch, ["k"], "d").select(*got.columns))
+    partition_filters = [line for line in plan(got).split("\n") if "PartitionFilters" in line]
+    assert any("y#" in line.split("PartitionFilters")[1] for line in partition_filters)

@@ -1,4 +1,7 @@
-"""Silver tables and the gold facts built from them."""
+"""Silver tables and the gold facts built from them.
+
+Fixed values: the names and order of the tables' columns, and what the aggregates of the facts are called.
+"""
 
 from __future__ import annotations
 

@@ -42,6 +42,8 @@ INACTIVE = {("fct_fx_daily", "dm_currency"): ("id_cur_to", "id")}
 # dm_date holds many rows per year, so this relationship only filters.
 MANY_TO_MANY = {("fct_gdp_yearly", "dm_date")}
 HOUR = "hour"
+#: Values of a dimension that does not relate to a fact, over which the fact's values may be repeated.
+MOST_REPEATED = 10_000
 
 Model = dict[str, DataFrame]
 Filters = dict[str, list]
@@ -148,8 +150,8 @@ def _repeated(
     """``build`` over the related groups, its values repeated for every value of the unrelated dimensions.
 
     The distinct values of a dimension's grouping columns come as one scalar
-    that each row expands in place, so nothing is cross joined; a dimension is
-    small beside a fact.
+    that each row expands in place. That is bounded: at most ``MOST_REPEATED``
+    values, and one unrelated dimension; more is an error.
     """
     related = _related(fact, inactive)
     loose: dict[str, list[str]] = {}
@@ -157,6 +159,8 @@ def _repeated(
         table, _, column = path.rpartition(".")
         if table and table not in related:
             loose.setdefault(table, []).append(column)
+    if len(loose) > 1:
+        raise ValueError(f"{sorted(loose)} do not relate to {fact}: group by one such dimension at a time")
     out = build([g for g in group_by if g.rpartition(".")[0] not in loose])
     for table, columns in loose.items():
         dim = model[table]
@@ -164,7 +168,9 @@ def _repeated(
             if path.rpartition(".")[0] == table:
                 dim = dim.filter(F.col(path.rpartition(".")[2]).isin(values))
         each = dim.select(F.struct(*[F.col(c).alias(f"{table}_{c}") for c in columns]).alias("each")).distinct()
-        listed = each.agg(F.collect_list("each")).scalar()
+        listed = each.limit(MOST_REPEATED + 1).agg(F.collect_list("each")).scalar()
+        message = F.lit(f"{table} has more than {MOST_REPEATED} values and does not relate to {fact}")
+        listed = F.when(F.size(listed) > MOST_REPEATED, F.raise_error(message)).otherwise(listed)
         out = out.withColumn("_each", F.explode(listed)).select("*", "_each.*").drop("_each")
     return out
 

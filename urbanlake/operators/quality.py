@@ -42,6 +42,7 @@ def in_set(label: str, col: str, values: list) -> Check:
 KNOWN_PARAMETERS = ["pm25", "no2", "o3", "co", "pm10", "pm1", "so2", "no", "nox", "temperature", "relativehumidity", "um003"]
 
 
+# Labels, columns and bounds of the checks.
 def standard_checks() -> dict[str, list[Check]]:
     """The checks of the six silver tables."""
     value, known = between("value >= 0", "value", 0), in_set("parameter in known set", "parameter", KNOWN_PARAMETERS)
@@ -130,6 +131,7 @@ def dq_run_all(tables: dict[str, DataFrame], checks: dict[str, list[Check]], top
     return reduce(DataFrame.unionByName, [dq_run(df, name, checks[name], top) for name, df in tables.items()])
 
 
+# The texts of the report.
 def dq_report(results: DataFrame) -> DataFrame:
     """A text block per table; a group holds as many rows as the table has checks."""
     detail = F.when(

@@ -73,16 +73,23 @@ def fill_gaps(df: DataFrame, keys: list[str], date_col: str, until: Column | Non
     )
 
 
-def fill_increment(silver: DataFrame, batch: DataFrame, keys: list[str], date_col: str) -> DataFrame:
+def fill_increment(
+    silver: DataFrame, batch: DataFrame, keys: list[str], date_col: str, year_col: str | None = None
+) -> DataFrame:
     """The filled rows that change when ``batch`` arrives on a filled ``silver``.
 
     Only days from the batch's first date on can change, and days after the
     end of ``silver``. Each key is seeded with its last observation before
-    them, which the filled row of the day before carries; older rows are not read.
+    them, which the filled row of the day before carries; older rows are not
+    read. ``year_col`` names a folder column of ``silver`` with the date's year:
+    then older folders are pruned, at run time. It is not in the result.
     """
     first_new, last_new = batch.agg(F.min(date_col)).scalar(), batch.agg(F.max(date_col)).scalar()
-    last_old = silver.agg(F.max(date_col)).scalar()
+    newest = silver.filter(F.col(year_col) == silver.agg(F.max(year_col)).scalar()) if year_col else silver
+    last_old = newest.agg(F.max(date_col)).scalar()
     start = F.least(first_new, F.date_add(last_old, 1))
+    if year_col:
+        silver = silver.filter(F.col(year_col) >= F.year(F.date_sub(start, 1))).drop(year_col)
     seed = silver.filter(F.col(date_col) == F.date_sub(start, 1)).drop("is_filled")
     later = silver.filter((F.col(date_col) >= start) & ~F.col("is_filled")).drop("is_filled")
     recent = upsert(later, batch, [*keys, date_col])

@@ -421,9 +421,9 @@ def merge_fx(
         if not tables.exists(spark, target):
             filled = timeseries.fill_gaps(batch, pair, "rate_date")
         else:
-            silver = tables.read(spark, target).drop("rate_year")
+            silver = tables.read(spark, target)
             staged.append(stage(batch, "fx-batch"))
-            filled = timeseries.fill_increment(silver, staged[0], pair, "rate_date")
+            filled = timeseries.fill_increment(silver, staged[0], pair, "rate_date", "rate_year")
         # A filled day may repeat an old observation: stamp it with this load, so the fact sees it.
         stamp = F.when(F.col("is_filled"), new.agg(F.max("loaded_at")).scalar()).otherwise(F.col("loaded_at"))
         return filled.withColumns({"loaded_at": stamp, "rate_year": F.year("rate_date")})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
@@ -11,23 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from urbanlake.operators import dims
 from urbanlake.plans import jobs
 from urbanlake.queries import bindings as b
+from urbanlake.queries.bindings import landed
 from urbanlake.queries.registry import query
 from urbanlake.session import scratch_path, stage
 from urbanlake.sources import archive_index, documents, files, tables
 
-_LANDED: dict[tuple[str, str, str], str] = {}
-
-
-def landed(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
-    """The path of a landed copy, written once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _LANDED:
-        path = scratch_path(spark, label)
-        write(path)
-        _LANDED[key] = path
-    return _LANDED[key]
-
-
 def trip_files(spark: SparkSession, sf_dir: str) -> str:
     """Raw trips under year=/month= folders of the pickup month."""
     raw = b.trips_raw(spark, sf_dir).withColumns(
