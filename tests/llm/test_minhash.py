@@ -124,6 +124,9 @@ def test_odd_sketches_estimate_high_similarities(spark):
     got = {r.i: r.ok for r in df.select("i", minhash.likely("l", "r", 85).alias("ok")).collect()}
     assert all(got[i] for i, w in enumerate(want) if w)
     assert not any(got[i] for i, u in enumerate(unlike) if u)
+    for i, x, y in rows:
+        odd = sum((a ^ b & (2**64 - 1)).bit_count() for a, b in ((p & (2**64 - 1), q & (2**64 - 1)) for p, q in zip(x[2], y[2])))
+        assert bool(minhash.likely_arrays(*(np.int64(v) for v in (x[0], y[0], x[1] + y[1], odd)), 85)) == got[i]
 
 
 def test_bands_meet_at_the_threshold():

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from urbanlake.llm import ngram_join, vectors
 from urbanlake.llm.common import QUERIES
@@ -95,3 +96,27 @@ def test_given_documents(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op10_ngram_join"](spark, sf).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain(rows)
+
+
+def test_many_rows_without_an_id(spark):
+    """Rows without ids, or with one id, are rows like others: no text meets all of them."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(1500)]
+    texts += [t + " more" for t in texts[:500]]
+    took = []
+    for ids in (range(len(texts)), [None] * len(texts), [7] * len(texts)):
+        begin = time.time()
+        got = ngram_join.join(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string"), n=4, percent=80).collect()
+        took.append(time.time() - begin)
+        assert len(got) == len(texts)
+        if ids == range(len(texts)):
+            assert {r.doc_id: r.component_id for r in got} == {i: i if i < 1500 else i - 1500 for i in ids}
+        else:
+            assert {r.component_id for r in got} == {ids[0]}
+    assert max(took[1:]) < 3 * took[0] + 5
+
+
+def test_equal_hashes_of_ids_lose_nothing(spark):
+    """Classes are told apart by the numbers of their rows."""
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(60)] + [(100 + i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(60)]
+    got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 100 for i, _ in rows}

@@ -10,14 +10,15 @@ smallest that links, two sets share no band with a probability of ``(1 - 0.85 **
 **Odd sketch.** The hash space is cut into ``SAMPLES`` cells and the least hash of a cell is its sample. Each sample flips
 one of ``BITS`` bits, so that the samples that two sets share cancel in the XOR of their bitmaps. Its population count gives
 the number of samples in which they differ, hence their similarity; estimates from ``MARGIN`` below the threshold pass. The
-deviation of an estimate at the threshold is 0.016 to 0.028 (measured on sets of 7 to 5000 shingles), so that is five of
+deviation of an estimate at the threshold is 0.011 to 0.020 (measured on sets of 20 to 5000 shingles), so that is five of
 them. Sketches drop candidates only; what links is decided on the full sets.
 
 **Rounds.** Classes that share a band are candidates, and only components are asked for. In a round, every band takes one of
 its classes at random as its centre, and the others are held against it where they are not yet in its component: a number
 of pairs that grows with the entries, however large a band is. After ``TURNS`` rounds most bands lie in one component each
-and are answered; in the others the classes of different components are paired, dealt out in blocks of ``BLOCK`` classes,
-and the condition of that join holds the sketches' test, so that it emits none but likely links.
+and are answered. In the others, the entries of lesser components are held against all by their sketches, in blocks and inside
+the task; what leaves it is a class and a chunk of at most ``CHUNK`` members of another component, and the full sets of these
+are compared together.
 """
 
 from __future__ import annotations
@@ -31,13 +32,13 @@ from pyspark.sql import functions as F
 from urbanlake.llm import vectors as V
 from urbanlake.llm.common import query, table
 from urbanlake.llm.links import components
-from urbanlake.llm.ngram_join import shingle_sets
+from urbanlake.llm.ngram_join import CHUNK, shingle_sets, verify_chunks
 from urbanlake.session import stage, unstage
 
 BANDS, ROWS = 28, 4
-SAMPLES, BITS = 512, 1024
+SAMPLES, BITS = 1024, 2048
 TURNS = 3
-MARGIN = 15
+MARGIN = 10
 BLOCK = 512
 WORDS = BITS // 64
 
@@ -129,6 +130,13 @@ def likely(a: str, b: str, percent: int) -> Column:
     return (100 * least >= percent * most) & (100 * shared >= (percent - MARGIN) * cells)
 
 
+def likely_arrays(a: np.ndarray, b: np.ndarray, samples: np.ndarray, odd: np.ndarray, percent: int) -> np.ndarray:
+    """The same for arrays: sizes of both sets, the sum of their samples, the bits that differ."""
+    differ = np.log(1 - 2 * np.minimum(odd, BITS // 2 - 1) / BITS) / np.log(1 - 2 / BITS)
+    cells = SAMPLES * (1 - np.exp((a + b) * (-100.0 / (100 + percent) / SAMPLES)))
+    return (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (50 * (samples - differ) >= (percent - MARGIN) * cells)
+
+
 def _unpack(column) -> pa.Array:
     tool = zstandard.ZstdDecompressor()
     return pa.array([tool.decompress(x.as_buffer()) for x in column], pa.large_binary())
@@ -164,18 +172,58 @@ def centred(entries: DataFrame, seed: int) -> DataFrame:
     return met.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct()
 
 
-def across(entries: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: the likely pairs of classes that share a band and lie in different components.
+REST = pa.schema([("a1", pa.int64()), ("a2", pa.int64()), ("component", pa.int64()), ("chunk", pa.int64())])
+
 
-    A band's left entries are dealt to blocks by hash and its right ones are copied to each, so no task holds all pairs.
+def across(entries: DataFrame, sketches: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """``a1, a2, component, chunk``: classes, and chunks of other components that hold a likely partner in a common band.
+
+    Of every two components in a band, one is not the band's largest: its entries are dealt to blocks of about ``BLOCK``, and
+    all entries of the band stream past them. The sketches' test takes place in the task, so no pair leaves it.
     """
-    blocks = F.ceil(F.col("others") / BLOCK).cast("int")
-    known = entries.join(sketches, "node")
-    left = known.select("band", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.struct("node", "component", "size", "samples", "sketch").alias("l"))
-    right = known.select("band", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.struct("node", "component", "size", "samples", "sketch").alias("r"))
-    other = (F.col("l.component") != F.col("r.component")) & (F.col("l.node") < F.col("r.node"))
-    met = left.hint("merge").join(right, ["band", "block"]).where(other & likely("l", "r", percent))
-    return met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    parts = entries.groupBy("band", "component").agg(F.count("*").alias("n"))
+    main = parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), (F.sum("n") - F.max("n")).alias("rest"))
+    known = entries.select("band", "node", "component").join(main, "band").join(sketches, "node").join(members, "component")
+    blocks = F.ceil(F.col("rest") / BLOCK).cast("int")
+    columns = ["band", "block", "side", "node", "component", "main", "members", "size", "samples", "sketch"]
+    left = known.where("component <> main").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("side", F.lit(0))
+    right = known.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(1))
+    dealt = left.select(columns).union(right.select(columns)).repartition("band", "block").sortWithinPartitions("band", "block", "side")
+
+    def meet(batches):
+        name, held = None, None
+        for batch in batches:
+            rows = {c: np.asarray(batch.column(c)) for c in columns[:-1]}
+            rows["sketch"] = np.asarray(batch.column("sketch").flatten()).view(np.uint64).reshape(-1, WORDS)
+            keys = np.stack([rows["band"], rows["block"]])
+            edges = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0), [True]])) if batch.num_rows else [0]
+            for low, high in zip(edges[:-1], edges[1:]):
+                if name != (name := (rows["band"][low], rows["block"][low])):
+                    held = None
+                part = {c: v[low:high] for c, v in rows.items()}
+                own = {c: v[part["side"] == 0] for c, v in part.items()}
+                held = {c: np.concatenate([held[c], v]) for c, v in own.items()} if held else own
+                found = _partners(held, {c: v[part["side"] == 1] for c, v in part.items()}, percent)
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, c]) for c in range(4)], schema=REST)
+
+    return dealt.mapInArrow(meet, "a1 long, a2 long, component long, chunk long").distinct()
+
+
+def _partners(x: dict, y: dict, percent: int) -> np.ndarray:
+    """Entries of x with the chunks of the likely partners among y, each once. Of two lesser components, the smaller one asks."""
+    out = [np.zeros((0, 4), np.int64)]
+    step = max(1, (1 << 21) // (max(1, len(x["node"])) * WORDS))
+    for low in range(0, len(y["node"]) if len(x["node"]) else 0, step):
+        z = {c: v[low : low + step] for c, v in y.items()}
+        asks = (x["members"][:, None] < z["members"]) | ((x["members"][:, None] == z["members"]) & (x["component"][:, None] < z["component"])) | (z["component"] == z["main"])
+        asks &= x["component"][:, None] != z["component"]
+        odd = np.bitwise_count(x["sketch"][:, None, :] ^ z["sketch"][None, :, :]).sum(axis=2, dtype=np.int64)
+        i, j = np.nonzero(asks & likely_arrays(x["size"][:, None], z["size"], x["samples"][:, None] + z["samples"], odd, percent))
+        if len(i):
+            chunk = z["node"][j] % -(-z["members"][j] // CHUNK)
+            out.append(np.unique(np.stack([x["node"][i], np.zeros(len(i), np.int64), z["component"][j], chunk], axis=1), axis=0))
+    return np.unique(np.concatenate(out), axis=0)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,28 +242,34 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 85, key: str = "
     some = entries.select("node").distinct()
     sketched = stage(members.withColumnRenamed("row", "node").join(some, "node", "left_semi").select("node", "size", "samples", "sketch", "packed"), "minhash-sketches")
     sketches, texts = sketched.select("node", "size", "samples", "sketch"), sketched.select("node", "packed")
+    named = texts.select(F.col("node").alias("set_a"), F.lit(0).cast("long").alias("set_b"), "packed")
 
     def checked(pairs: DataFrame) -> DataFrame:
         l, r = (sketches.select(F.col("node").alias(c), F.struct("size", "samples", "sketch").alias(s)) for c, s in (("a", "l"), ("b", "r")))
         return pairs.join(l, "a").join(r, "b").where(likely("l", "r", percent)).select("a", "b")
 
     links, used = None, [entries, sketched]
-    placed = entries.withColumn("component", F.col("node"))
+    label = stage(some.withColumn("component", F.col("node")), "minhash-labels")
+    placed = open_bands(entries, label)
     for turn in range(TURNS + 1):
-        # The last turn decides whatever the centres have left open.
-        pairs = across(placed, sketches, percent) if turn == TURNS else checked(centred(placed, turn))
-        found = stage(verify(pairs, texts, percent, n), "minhash-links")
-        used.append(found)
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.union(found)
-        label = stage(some.join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "minhash-labels")
-        placed = open_bands(entries, label)
-        used.append(placed)
+        if turn < TURNS:
+            found = stage(verify(checked(centred(placed, turn)), texts, percent, n), "minhash-links")
+        else:
+            # Whatever the centres have left open.
+            members = label.groupBy("component").agg(F.count("*").alias("members"))
+            rest = stage(across(placed, sketches, members, percent), "minhash-rest")
+            sized = label.join(members, "component").select(F.col("node").alias("set_a"), F.lit(0).cast("long").alias("set_b"), "component", "members")
+            found = stage(verify_chunks(rest, sized, named, percent, n).select(F.col("a1").alias("a"), F.col("b1").alias("b")), "minhash-links")
+            used.append(rest)
+        used += [placed, found]
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            unstage(label)
+            label = stage(some.join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "minhash-labels")
+            placed = open_bands(entries, label)
         if placed.isEmpty():
             break
-    if links is None:
-        label = stage(some.withColumn("component", F.col("node")), "minhash-labels")
+    used.append(placed)
     for part in used:
         unstage(part)
     smallest = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))

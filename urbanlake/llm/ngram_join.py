@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from urbanlake.llm import vectors as V
 from urbanlake.llm.common import query, table
 from urbanlake.llm.links import components
-from urbanlake.session import stage
+from urbanlake.session import stage, unstage
 
 #: Table size of the shingles put last, and how often one must occur in a batch to be reported.
 FREQUENT, OFTEN = 200_000, 8
@@ -445,8 +445,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     rows = scanned.where("token is null").select("row", "doc_id", "size", "set_a", "set_b")
     classes = stage(rows.where("size > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row")), "join-classes")
 
-    kept = stage(lists(postings(docs, frequent, percent, n), percent), "join-lists")
-    kept = stage(thinned(kept, _members(kept), percent), "join-lists")
+    full = stage(lists(postings(docs, frequent, percent, n), percent), "join-lists")
+    kept = stage(thinned(full, _members(full), percent), "join-lists")
+    unstage(full)
     texts = stage(member_texts(_members(kept).select("set_a", "set_b").distinct(), classes, scanned), "join-texts")
     number = classes.select("set_a", "set_b", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("low"), F.col("row").alias("node"))
 
@@ -465,7 +466,10 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     rest = stage(second_round(kept, _labels(_members(kept), label.select("set_a", "set_b", "component", "members")), percent), "join-rest")
     more = stage(verify_chunks(rest, label, texts, percent, n), "join-links")
     if not more.isEmpty():
+        unstage(label)
         label = stage(labelled(links.union(more)), "join-labels")
+    for part in (kept, texts, links, rest, more):
+        unstage(part)
     smallest = label.groupBy("component").agg(F.min("low").alias("component_id"))
     of_class = label.join(smallest, "component").select("set_a", "set_b", "component_id")
     own = rows.join(of_class, ["set_a", "set_b"], "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.when(F.col("component_id") < 2**63 - 1, F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
