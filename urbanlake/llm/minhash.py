@@ -75,9 +75,10 @@ def odd_sketches(every: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     cell = owner * SAMPLES + (spread % np.uint64(SAMPLES)).astype(np.int64)
     order = np.lexsort((spread, cell))
     first = order[np.flatnonzero(np.concatenate([[True], np.diff(cell[order]) != 0]))]
-    bit = (V.mix(spread[first] ^ SALTS[6]) % np.uint64(BITS)).astype(np.int64)
-    flips = np.bincount(owner[first] * BITS + bit, minlength=len(starts) * BITS) & 1
-    return np.bincount(owner[first], minlength=len(starts)), np.packbits(flips.astype(np.uint8).reshape(len(starts), BITS), axis=1).view(np.uint64)
+    bit = V.mix(spread[first] ^ SALTS[6]) % np.uint64(BITS)
+    words = np.zeros(len(starts) * WORDS, np.uint64)
+    np.bitwise_xor.at(words, owner[first] * WORDS + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return np.bincount(owner[first], minlength=len(starts)), words.reshape(len(starts), WORDS)
 
 
 def digests(every: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
