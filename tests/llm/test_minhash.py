@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -129,6 +130,32 @@ def test_odd_sketches_estimate_high_similarities(spark):
         assert bool(minhash.likely_arrays(*(np.int64(v) for v in (x[0], y[0], x[1] + y[1], odd)), 85)) == got[i]
 
 
+def test_sketches_lose_no_link_of_small_sets():
+    """Linked sets of every size pass, alike by a hair or by much, also where one is sampled and the other is not."""
+    dice = np.random.default_rng(3)
+    for size in [*range(7, 60), 200, 1000, 4090, 4096]:
+        for more in (0, 1, size // 20):
+            for _ in range(20):
+                shared = -(-85 * (2 * size + more) // 185)
+                if shared > size:
+                    continue
+                pool = dice.integers(0, 2**63, 2 * size + more - shared, dtype=np.uint64)
+                x, y = np.unique(pool[:size]), np.unique(np.concatenate([pool[:shared], pool[size:]]))
+                (a, s), (b, t) = ((int(n[0]), bits[0]) for n, bits in (minhash.odd_sketches(v, np.array([0])) for v in (x, y)))
+                assert minhash.likely_arrays(np.int64(len(x)), np.int64(len(y)), a + b, np.bitwise_count(s ^ t).sum(dtype=np.int64), 85), (size, more)
+
+
+def test_copies_meet_few_centres(spark):
+    """A group of near copies shares most bands; each copy is held against a few centres, not against one in every band."""
+    docs = near_copies(random.Random(6), 1, 200, 100)
+    sets = [np.unique([zlib.crc32(repr(x).encode()) for x in shingles(t)]).astype(np.uint64) for _, t in docs]
+    bands = minhash.signatures(np.concatenate(sets), np.cumsum([0, *(len(s) for s in sets[:-1])])).view(np.int64)
+    rows = [(i, int(b), i) for i, own in enumerate(bands) for b in own]
+    entries = spark.createDataFrame(rows, "node long, band long, component long")
+    for turn in range(3):
+        assert minhash.centred(entries, turn).count() <= 8 * len(docs)
+
+
 def test_bands_meet_at_the_threshold():
     """Sets with a similarity of 0.85 share a band: a miss is expected once in 10 ** 9 pairs."""
     dice = np.random.default_rng(2)
