@@ -98,6 +98,17 @@ def test_sensors_are_deduplicated_first(spark):
     assert tuple(spatial.map_stats(mapped).first()) == (2, 1, 3)
 
 
+def test_a_hot_position_is_dealt_to_many_tasks(spark, monkeypatch):
+    """Tasks follow the rows that the join makes, not the bytes of the points."""
+    monkeypatch.setattr(spatial, "TASK_ROWS", 4000)
+    points = spark.range(2000).select("id", F.lit(1.0).alias("lon"), F.lit(1.0).alias("lat"))
+    squares = [(i, f"POLYGON ((0 0, {2 + i} 0, {2 + i} {2 + i}, 0 {2 + i}, 0 0))") for i in range(20)]
+    out = spatial.within_join(points, spark.createDataFrame(squares, "zone int, wkt string"), "lon", "lat", "wkt")
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 40000 and max(sizes) <= 16000
+    assert out.distinct().count() == 40000
+
+
 def test_no_zones(spark):
     points = spark.createDataFrame([("a", 1.0, 1.0)], "id string, lon double, lat double")
     zones = spark.createDataFrame([], "zone int, wkt string")

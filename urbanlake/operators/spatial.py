@@ -10,6 +10,8 @@ from urbanlake.operators.merge import dedupe_latest
 from urbanlake.session import stage
 
 LEVEL_FACTOR = 8
+#: Rows that a task of the last join makes, on average; a key makes a quarter of that at most.
+TASK_ROWS = 1 << 21
 #: Degrees; zones that are smaller still lie on level 0.
 SMALLEST_CELL = 1e-9
 
@@ -92,6 +94,10 @@ def within_join(
     are joined to what is left, by the zone's number, for the exact test. Every position is decided once, whatever the
     number of points that share it, and points take the zones of their position. Overlapping zones give one row each; an
     unmatched point, or one without coordinates, keeps one row.
+
+    The result has the points of a position times its zones, so its size does not follow from the bytes that are shuffled.
+    Both numbers are known by then: a position's points are dealt to as many parts as its rows need, each part meets
+    the position's zones, and the parts are dealt to as many tasks as all rows need (``TASK_ROWS``).
     """
     attributes = [c for c in zones.columns if c != wkt]
     known = numbered_zones(zones, wkt)
@@ -107,17 +113,35 @@ def within_join(
     cells = boxes.withColumn("_cx", span("_x0", "_x1")).withColumn("_cy", span("_y0", "_y1"))
     x, y = F.col("_x"), F.col("_y")
     placed = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-    spots = placed.select(F.col(lon).cast("double").alias("_x"), F.col(lat).cast("double").alias("_y")).distinct()
+    counted = placed.groupBy(F.col(lon).cast("double").alias("_x"), F.col(lat).cast("double").alias("_y")).agg(F.count("*").alias("_points"))
+    spots = stage(counted.withColumn("_spot", F.monotonically_increasing_id()), "spots")
     on_levels = spots.withColumn("_level", F.explode(F.array(*(F.lit(n) for n in levels)).cast("array<int>")))
-    on_levels = on_levels.select("_x", "_y", "_level", index(x, F.col("_level")).alias("_cx"), index(y, F.col("_level")).alias("_cy"))
+    on_levels = on_levels.select("_spot", "_x", "_y", "_level", index(x, F.col("_level")).alias("_cx"), index(y, F.col("_level")).alias("_cy"))
     in_box = (x > F.col("_x0")) & (x < F.col("_x1")) & (y > F.col("_y0")) & (y < F.col("_y1"))
-    near = on_levels.join(cells, ["_level", "_cx", "_cy"]).where(in_box).select("_x", "_y", "_zone")
+    near = on_levels.join(cells, ["_level", "_cx", "_cy"]).where(in_box).select("_spot", "_x", "_y", "_zone")
     shapes = known.select("_zone", "_edges", *attributes)
-    hits = near.join(shapes, "_zone").where(strictly_within(x, y, F.col("_edges"))).select("_x", "_y", *attributes)
-    found = placed.join(hits, (F.col(lon) == x) & (F.col(lat) == y), "left").select(*points.columns, *attributes)
-    # Points without coordinates would all meet in one task of that join.
-    nowhere = points.where(F.col(lon).isNull() | F.col(lat).isNull())
-    return found.unionByName(nowhere.select("*", *(F.lit(None).cast(zones.schema[c].dataType).alias(c) for c in attributes)))
+    within = near.join(shapes, "_zone").where(strictly_within(x, y, F.col("_edges")))
+    hits = stage(within.select("_spot", *(F.col(c).alias(f"_z_{c}") for c in attributes)), "hits")
+    counts = spots.join(hits.groupBy("_spot").agg(F.count("*").alias("_zones")), "_spot")
+    parts = F.least("_points", F.ceil(F.col("_points") * F.col("_zones") * 4 / TASK_ROWS)).cast("int")
+    counts = stage(counts.select("_spot", "_x", "_y", "_points", "_zones", parts.alias("_parts")), "spot-parts")
+    made = counts.agg(F.sum(F.col("_points") * F.col("_zones"))).first()[0] or 0
+    tasks = int(made) // TASK_ROWS + 1
+
+    known_spots = counts.select("_spot", "_x", "_y", "_parts")
+    dealt = placed.join(known_spots, (F.col(lon) == x) & (F.col(lat) == y), "left")
+    # A part follows from the row's values, so that a repeated task deals its rows alike; maps have no hash.
+    values = [f.name for f in points.schema.fields if "map<" not in f.dataType.simpleString()]
+    part = F.pmod(F.xxhash64(*values), F.col("_parts")).cast("int")
+    mine = dealt.where("_spot is not null").withColumn("_part", part).repartition(tasks, "_spot", "_part")
+    zones_of = hits.join(counts.select("_spot", "_parts"), "_spot").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    zones_of = zones_of.drop("_parts").repartition(tasks, "_spot", "_part")
+    found = mine.join(zones_of, ["_spot", "_part"]).select(*points.columns, *(F.col(f"_z_{c}").alias(c) for c in attributes))
+    nothing = [F.lit(None).cast(zones.schema[c].dataType).alias(c) for c in attributes]
+    lonely = dealt.where("_spot is null").select(*points.columns, *nothing)
+    # Points without coordinates would all meet in one task of a join.
+    nowhere = points.where(F.col(lon).isNull() | F.col(lat).isNull()).select("*", *nothing)
+    return found.unionByName(lonely).unionByName(nowhere)
 
 
 def sensor_zones(locations: DataFrame, zones: DataFrame, cell_deg: float | None = None) -> DataFrame:
