@@ -2,7 +2,9 @@
 
 import gzip
 import os
+import threading
 from datetime import date, datetime
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +79,27 @@ def test_a_renewed_month_forgets_lost_files(spark, scratch):
     assert archive_index.read_index(spark, scratch + "/none").count() == 0
 
 
+def test_halves_are_read_side_by_side():
+    """The halves of a list that failed do not wait for one another; bad files come in the order given."""
+    meeting, met = threading.Barrier(2, timeout=10), []
+
+    def read(paths):
+        frame = MagicMock()
+
+        def save():
+            if len(paths) == 4:
+                met.append(meeting.wait())
+            if {"b", "g"} & set(paths):
+                raise OSError("not a gzip file")
+
+        frame.write.format.return_value.mode.return_value.save.side_effect = save
+        return frame
+
+    assert archive_index.unreadable(read, list("abcdefgh")) == [(p, "OSError: not a gzip file") for p in "bg"]
+    assert len(met) == 2
+    assert archive_index.unreadable(read, []) == []
+
+
 def test_unreadable_files_are_found(spark, scratch):
     root = scratch + "/in"
     names = []

@@ -40,6 +40,7 @@ from urbanlake.session import delete_folder, scratch_path, stage, unstage
 from urbanlake.sources import archive_index, documents, files, tables
 
 START = datetime(1900, 1, 1)
+SENSOR_COLUMNS = ("sensor_id", "location_id", "p_name", "first_datetime_utc", "last_datetime_utc", "loaded_at")
 RESULT_SCHEMA = "source_name string, partition_key string, rows_written bigint, new_status string, message string"
 
 
@@ -211,12 +212,18 @@ def load_archive_months(
         raise ValueError(f"bad_files must be fail or skip, not {bad_files!r}")
     store = store or scratch_path(spark, "archive-index")
     done: list[tuple[str, str, int, str, str | None]] = []
+    try:
+        # Every month asks for them several times.
+        ours = stage(target_sensors(sensors.select(*SENSOR_COLUMNS)), "archive-sensors")
+    except Exception as error:
+        return spark.createDataFrame([(source, key, 0, "failed", archive_index.reason(error)) for key in keys], RESULT_SCHEMA)
     for key in keys:
         try:
-            rows, note = _load_archive_month(spark, root, sensors, key, target, load_ts, grain, source, store, bad_files, rejects, slice_size)
+            rows, note = _load_archive_month(spark, root, ours, key, target, load_ts, grain, source, store, bad_files, rejects, slice_size)
             done.append((source, key, rows, "succeeded", note))
         except Exception as error:
             done.append((source, key, 0, "failed", archive_index.reason(error)))
+    unstage(ours)
     return spark.createDataFrame(done, RESULT_SCHEMA)
 
 
@@ -236,7 +243,7 @@ def _load_archive_month(
 ) -> tuple[int, str | None]:
     locations, wanted, first, last = _archive_sensors(sensors, key)
     archive_index.register(spark, root, store, locations, [key])
-    months = archive_index.month_frame(spark.createDataFrame([(key,)], "partition_key string"))
+    months = archive_index.month_frame(spark.range(1).select(F.lit(key).alias("partition_key")))
     found = archive_index.wanted_files(archive_index.read_index(spark, store), months, locations)
     path, bad_path = scratch_path(spark, "archive-month"), scratch_path(spark, "archive-rejects")
     bad: list[tuple[str, str]] = []
